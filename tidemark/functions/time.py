@@ -7,7 +7,7 @@ since the epoch rather than by a cast, which would use the session zone.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, functions as F
 
@@ -29,13 +29,25 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+def moment(at: datetime) -> Column:
+    """A zone-less timestamp literal."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def micros_of(delta: timedelta) -> int:
     return delta // timedelta(microseconds=1)
 
 
 def to_micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a zone-less UTC timestamp."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+    """Microseconds since the epoch of a zone-less UTC timestamp.
+
+    Put together from the fields: ``timestampdiff`` and ``unix_micros`` would
+    first read the timestamp in the session zone.
+    """
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def from_micros(micros: Column) -> Column:
@@ -84,8 +96,3 @@ def parse_timestamp(text: Column, formats: tuple[str, ...] = ("millis",)) -> Col
         else:
             tries.append(matched.try_cast("timestamp_ntz"))
     return F.coalesce(*tries)
-
-
-def whole_seconds(start: Column, end: Column) -> Column:
-    """Completed seconds between two timestamps."""
-    return F.timestamp_diff("SECOND", start, end)

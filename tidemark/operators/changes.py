@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.time import floor_to, parse_timestamp
+from ..functions.time import floor_to, moment, parse_timestamp
 from .keyed import last_per_key
 
 MONEY = "decimal(10,2)"
@@ -102,9 +102,9 @@ def current(log: DataFrame, key: str, order_by: Sequence[str] = (CHANGED,)) -> D
     return last_per_key(log, [key], order_by)
 
 
-def as_of(log: DataFrame, key: str, moment: datetime, order_by: Sequence[str] = (CHANGED,)) -> DataFrame:
-    """Latest version of each key known at ``moment``."""
-    known = log.where(F.col(order_by[0]) <= F.lit(moment).cast("timestamp_ntz"))
+def as_of(log: DataFrame, key: str, at: datetime, order_by: Sequence[str] = (CHANGED,)) -> DataFrame:
+    """Latest version of each key known at ``at``."""
+    known = log.where(F.col(order_by[0]) <= moment(at))
     return last_per_key(known, [key], order_by)
 
 

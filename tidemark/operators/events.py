@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.json import json_scalar
-from ..functions.time import as_instant, as_utc, parse_timestamp
+from ..functions.time import as_instant, as_utc, moment, parse_timestamp
 from .keyed import first_per_key
 
 # The event types of the funnel.
@@ -40,8 +40,8 @@ def _rules(as_of: datetime | None, max_age: timedelta) -> dict[str, Column]:
     rules["event_type unknown"] = F.col("event_type").isin(*EVENT_TYPES)
     if as_of is not None:
         ts = F.col("event_timestamp")
-        rules["event_timestamp in the future"] = ts <= F.lit(as_of).cast("timestamp_ntz")
-        rules["event_timestamp too old"] = ts >= F.lit(as_of - max_age).cast("timestamp_ntz")
+        rules["event_timestamp in the future"] = ts <= moment(as_of)
+        rules["event_timestamp too old"] = ts >= moment(as_of - max_age)
     return rules
 
 

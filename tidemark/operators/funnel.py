@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.time import as_utc, floor_to, from_micros, micros_of, to_micros
+from ..functions.time import as_utc, floor_to, micros_of
 from .events import WATERMARK, with_event_time
 from .sessions import TYPE_COUNTS, type_counts
 
@@ -36,7 +36,7 @@ def product_funnel(events: DataFrame, size: timedelta = WINDOW, delay: str = WAT
 
 
 def _end(size: timedelta):
-    return from_micros(to_micros(F.col("window_start")) + F.lit(micros_of(size)))
+    return F.col("window_start") + F.lit(size)
 
 
 def coarser_funnel(funnel: DataFrame, fine: timedelta, coarse: timedelta) -> DataFrame:

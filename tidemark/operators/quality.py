@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..contracts import Contract
+from ..functions.time import moment
 
 _UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 
@@ -70,7 +71,7 @@ def check(df: DataFrame, contract: Contract, as_of: datetime | None = None) -> D
             short = F.count("*") <= rule["mustBeGreaterThan"]
             results.append(_result("rowCount", "*", F.when(short, 1).otherwise(0)))
         elif rule["type"] == "freshness" and as_of is not None and "column" in rule:
-            oldest = F.lit(as_of - _interval(rule["interval"])).cast("timestamp_ntz")
+            oldest = moment(as_of - _interval(rule["interval"]))
             fresh = F.max(rule["column"]) >= oldest
             results.append(_result("freshness", rule["column"], F.when(fresh, 0).otherwise(1)))
     parts = []

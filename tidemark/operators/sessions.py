@@ -12,7 +12,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.time import as_utc, floor_micros, from_micros, micros_of, to_micros, whole_seconds
+from ..functions.time import floor_micros, from_micros, micros_of, to_micros
 from .events import EVENT_TYPES, WATERMARK, with_event_time
 
 KEYS = ("session_id", "user_id")
@@ -27,7 +27,7 @@ def type_counts() -> list[Column]:
 
 
 def _batch_sessions(events: DataFrame, keys: Sequence[str], gap: timedelta) -> DataFrame:
-    """Sessions from per-cell summaries.
+    """Sessions from per-cell summaries, bounds in microseconds.
 
     Events of one key in one gap-wide cell are less than a gap apart, so they
     share a session and may be summed before any ordering. That aggregate is
@@ -52,7 +52,6 @@ def _batch_sessions(events: DataFrame, keys: Sequence[str], gap: timedelta) -> D
         numbered.groupBy(*keys, "_run")
         .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
              *[F.sum(c).alias(c) for c in COUNTS])
-        .withColumns({"_first": from_micros(F.col("_first")), "_last": from_micros(F.col("_last"))})
         .drop("_run")
     )
 
@@ -63,10 +62,9 @@ def _stream_sessions(events: DataFrame, keys: Sequence[str], gap: timedelta, del
     return (
         with_event_time(events, delay)
         .groupBy(*keys, F.session_window("event_time", length).alias("_window"))
-        .agg(F.min("event_time").alias("_first"), F.max("event_time").alias("_last"),
+        .agg(F.unix_micros(F.min("event_time")).alias("_first"), F.unix_micros(F.max("event_time")).alias("_last"),
              F.count("*").alias("event_count"), *type_counts())
         .drop("_window")
-        .withColumns({"_first": as_utc(F.col("_first")), "_last": as_utc(F.col("_last"))})
     )
 
 
@@ -88,15 +86,16 @@ def session_metrics(
         runs = _stream_sessions(events, keys, gap, delay)
     else:
         runs = _batch_sessions(events, keys, gap)
-    last = F.col("_last")
-    closed = from_micros(to_micros(last) + F.lit(micros_of(gap))) if end == "gap" else last
-    bounded = runs.withColumns({"session_start": F.col("_first"), "session_end": closed})
+    tail = micros_of(gap) if end == "gap" else 0
+    bounded = runs.withColumn("_end", F.col("_last") + F.lit(tail))
     return bounded.select(
-        *keys, "session_start", "session_end",
-        whole_seconds(F.col("session_start"), F.col("session_end")).alias("session_duration_seconds"),
+        *keys,
+        from_micros(F.col("_first")).alias("session_start"),
+        from_micros(F.col("_end")).alias("session_end"),
+        F.expr("(_end - _first) div 1000000").alias("session_duration_seconds"),
         *COUNTS,
         (F.col("purchases") > 0).alias("converted"),
-        F.to_date("session_start").alias("session_date"),
+        F.to_date(from_micros(F.col("_first"))).alias("session_date"),
     )
 
 

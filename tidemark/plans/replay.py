@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import contracts
+from ..functions.time import moment
 from ..operators.compare import compare
 from ..operators.events import bronze_events, rejected_events, validated_events
 from ..operators.funnel import WINDOW, product_funnel
@@ -67,14 +68,14 @@ def compare_tables(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]
     return reduce(DataFrame.unionByName, [compare(t, left[t], right[t]) for t in left])
 
 
-def log_as_of(log: DataFrame, moment: datetime, column: str = "ingestion_ts") -> DataFrame:
-    """The append-only log as it stood at ``moment``."""
-    return log.where(F.col(column) <= F.lit(moment).cast("timestamp_ntz"))
+def log_as_of(log: DataFrame, at: datetime, column: str = "ingestion_ts") -> DataFrame:
+    """The append-only log as it stood at ``at``."""
+    return log.where(F.col(column) <= moment(at))
 
 
 def growth(log: DataFrame, before: datetime, after: datetime, column: str = "ingestion_ts") -> DataFrame:
     """Row counts at two moments and what came between, in one pass."""
-    at = [F.count_if(F.col(column) <= F.lit(m).cast("timestamp_ntz")) for m in (before, after)]
+    at = [F.count_if(F.col(column) <= moment(m)) for m in (before, after)]
     return log.agg(at[0].alias("rows_before"), at[1].alias("rows_after")).withColumn(
         "rows_added", F.col("rows_after") - F.col("rows_before")
     )

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import contracts
+from ..functions.time import moment
 from ..operators import changes as entity
 from ..operators import quality
 from ..operators.compare import compare
@@ -150,7 +151,7 @@ def session_metrics_per_user(spark, sf_dir):
 def sessions_ending_before(spark, sf_dir):
     """A filter on session bounds selects whole sessions."""
     sessions = session_metrics(wh.click_events(spark, sf_dir), gap=6 * HOUR)
-    return sessions.where(F.col("session_end") <= F.lit(LOG_SPLIT).cast("timestamp_ntz"))
+    return sessions.where(F.col("session_end") <= moment(LOG_SPLIT))
 
 
 @query

@@ -14,14 +14,17 @@ _CORRUPT = "_corrupt"
 def _decoded(raw: DataFrame, fields: Sequence[str], value: str, keep: Sequence[str]) -> DataFrame:
     schema = ", ".join(f"`{f}` STRING" for f in (*fields, _CORRUPT))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    record = F.from_json(value, schema, options).alias("_record")
-    return raw.select(*keep, F.col(value).alias("_text"), record).select(*keep, "_text", "_record.*")
+    record = F.struct(F.col(value).alias("_text"), F.from_json(value, schema, options).alias("_record"))
+    # A generator: filters on the fields stay above it instead of each parsing the text again.
+    return raw.select(*keep, F.inline(F.array(record))).select(
+        *keep, "_text", F.col("_record").isNotNull().alias("_is_record"), "_record.*"
+    )
 
 
 def _readable(fields: Sequence[str]):
-    """A record counts as read unless the parser gave up on all of it."""
+    """A record counts as read unless the parser gave up on all of it, or it is empty."""
     any_field = reduce(or_, [F.col(f).isNotNull() for f in fields])
-    return F.col("_text").isNotNull() & (F.col(_CORRUPT).isNull() | any_field)
+    return F.col("_is_record") & (F.col(_CORRUPT).isNull() | any_field)
 
 
 def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +33,7 @@ def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Se
     A missing field is NULL. A nested object keeps its JSON text. ``keep``
     names columns of ``raw`` to carry along, such as the log offset.
     """
-    return _decoded(raw, fields, value, keep).where(_readable(fields)).drop("_text", _CORRUPT)
+    return _decoded(raw, fields, value, keep).where(_readable(fields)).drop("_text", "_is_record", _CORRUPT)
 
 
 def undecodable(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
