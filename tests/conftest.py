@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 from tidemark.session import build_session  # noqa: E402
 
@@ -12,7 +12,7 @@ from tidemark.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", master="local[4]", **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -183,7 +183,7 @@ def bootstrap(spark: SparkSession, root: str, contracts: dict[str, Contract] | N
     created = []
     for name, contract in (contracts or all_contracts()).items():
         layer, table = name.split(".")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.schema)
         partitioned = f"PARTITIONED BY ({', '.join(contract.partition_by)})" if contract.partition_by else ""
         spark.sql(

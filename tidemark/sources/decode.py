@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,19 +10,21 @@ _CORRUPT = "_corrupt"
 
 
 def _decoded(raw: DataFrame, fields: Sequence[str], value: str, keep: Sequence[str]) -> DataFrame:
+    """The records with ``_readable``, false where the parser gave up on all of a record.
+
+    A generator makes the columns, so a filter on a field, or on the flag over
+    all of them, stays above it instead of parsing the text again.
+    """
     schema = ", ".join(f"`{f}` STRING" for f in (*fields, _CORRUPT))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    record = F.struct(F.col(value).alias("_text"), F.from_json(value, schema, options).alias("_record"))
-    # A generator: filters on the fields stay above it instead of each parsing the text again.
-    return raw.select(*keep, F.inline(F.array(record))).select(
-        *keep, "_text", F.col("_record").isNotNull().alias("_is_record"), "_record.*"
-    )
 
+    def flagged(record):
+        any_field = F.coalesce(*[record[f] for f in fields]).isNotNull()
+        readable = record.isNotNull() & (record[_CORRUPT].isNull() | any_field)
+        return F.struct(F.col(value).alias("_text"), readable.alias("_readable"), record.alias("_record"))
 
-def _readable(fields: Sequence[str]):
-    """A record counts as read unless the parser gave up on all of it, or it is empty."""
-    any_field = reduce(or_, [F.col(f).isNotNull() for f in fields])
-    return F.col("_is_record") & (F.col(_CORRUPT).isNull() | any_field)
+    records = F.transform(F.array(F.from_json(value, schema, options)), flagged)
+    return raw.select(*keep, F.inline(records)).select(*keep, "_text", "_readable", "_record.*")
 
 
 def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -33,13 +33,13 @@ def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Se
     A missing field is NULL. A nested object keeps its JSON text. ``keep``
     names columns of ``raw`` to carry along, such as the log offset.
     """
-    return _decoded(raw, fields, value, keep).where(_readable(fields)).drop("_text", "_is_record", _CORRUPT)
+    return _decoded(raw, fields, value, keep).where("_readable").drop("_text", "_readable", _CORRUPT)
 
 
 def undecodable(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """The complement of ``decode``: the original text of what could not be read."""
     return (
         _decoded(raw, fields, value, keep)
-        .where(~_readable(fields))
+        .where(~F.col("_readable"))
         .select(*keep, F.col("_text").alias(value), F.lit("unparseable").alias("reason"))
     )
