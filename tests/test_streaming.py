@@ -13,6 +13,7 @@ from tidemark.operators.compare import difference
 from tidemark.operators.events import WATERMARK, dedupe_events
 from tidemark.operators.funnel import product_funnel
 from tidemark.operators.sessions import session_metrics, user_sessions
+from tidemark.operators.users import user_360, user_state
 from tidemark.plans import replay
 from tidemark.session import streaming_session, work_path
 from tidemark.sources.logs import read_text
@@ -80,6 +81,10 @@ def test_streamed_sessions_equal_batch(spark, log, tmp_path):
     best = expected.groupBy("session_id").agg(F.max("session_end").alias("session_end"))
     assert serving.count() == best.count() == serving.join(best, ["session_id", "session_end"]).count()
     assert dict(serving.dtypes)["event_count"] == "int"
+    users = jobs.read_user_360(spark, root)
+    assert difference(users, user_360(user_state(gold))).count() == 0
+    refreshed = spark.read.parquet(replay.refresh_user_360(spark, root))
+    assert difference(refreshed, users).count() == 0
 
 
 def test_streamed_funnel_equals_batch(spark, log, tmp_path):
@@ -129,16 +134,37 @@ def test_late_events_are_dropped(spark, tmp_path):
     assert [(r.session_start, r.event_count) for r in first] == [(START, 1)]
 
 
-def test_stream_dedupe(spark, tmp_path):
+@pytest.mark.parametrize("spread_by", [None, "position"])
+def test_stream_dedupe(spark, tmp_path, spread_by):
     source = tmp_path / "in"
     source.mkdir()
-    (source / "a.txt").write_text("\n".join(line(i, START) for i in (1, 1, 2)) + "\n")
-    events = jobs.window_events(stream(spark, str(source)))
+    for name, numbers in {"a": (1, 1, 2, 1, 1), "b": (1, 3, 2)}.items():
+        (source / f"{name}.txt").write_text("\n".join(line(i, START) for i in numbers) + "\n")
+        time.sleep(0.02)
+    # A stand-in for the log offset: a number that differs between copies.
+    events = jobs.window_events(stream(spark, str(source))).withColumn("position", F.expr("crc32(uuid())"))
     out = str(tmp_path / "out")
-    running = jobs._start(dedupe_events(events, WATERMARK), f"{out}/c", jobs.DRAIN,
+    running = jobs._start(dedupe_events(events, WATERMARK, spread_by, salts=2), f"{out}/c", jobs.DRAIN,
                           lambda b, label: sinks.append_batch(b, f"{out}/t", label))
     running.awaitTermination()
-    assert sorted(r.event_id for r in spark.read.parquet(f"{out}/t").collect()) == ["1", "2"]
+    assert sorted(r.event_id for r in spark.read.parquet(f"{out}/t").collect()) == ["1", "2", "3"]
+
+
+def test_all_jobs_side_by_side(spark, log, tmp_path):
+    changes, root = tmp_path / "changes", str(tmp_path / "out")
+    changes.mkdir()
+    (changes / "a.txt").write_text('{"entity_type":"order","order_id":"O1","timestamp":"2024-01-01 00:00:00.000"}\n')
+    session = streaming_session(spark)
+    running = jobs.start_all(
+        lambda: read_text(session, log, streaming=True), lambda: read_text(session, str(changes), streaming=True),
+        root, f"{root}/checkpoints", jobs.DRAIN)
+    for job in running.values():
+        job.awaitTermination()
+    assert len(running) == 6
+    for table, rows in {"bronze/raw_events": 400, "lake/orders": 1}.items():
+        assert spark.read.parquet(f"{root}/{table}").count() == rows
+    for table in ("silver/validated_events", "gold/session_metrics", "gold/product_funnel_1m"):
+        assert spark.read.parquet(f"{root}/{table}").count() > 0
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
@@ -203,6 +229,8 @@ def test_replay_gives_the_same_tables(spark, log, tmp_path):
 
 def test_statements():
     sql = sinks.merge_statement("t", "s", ["k"], ["k", "v"])
+    options = sinks.staging_options("jdbc:x", "product_funnel_1m")
+    assert (options["dbtable"], options["batchsize"]) == ("product_funnel_1m_staging", "200")
     assert sql.startswith("MERGE INTO t t USING s s ON t.k = s.k") and "UPDATE SET t.v = s.v" in sql
 
 

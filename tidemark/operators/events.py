@@ -88,14 +88,23 @@ def validated_events(
     return enrich_events(valid_events(checked, as_of), ingestion_ts)
 
 
-def dedupe_events(events: DataFrame, within: str = WATERMARK) -> DataFrame:
-    """One event per ``event_id``; events without an id are all kept.
+def dedupe_events(
+    events: DataFrame, within: str = WATERMARK, spread_by: str | None = None, salts: int = 32
+) -> DataFrame:
+    """One event per ``event_id``; events without an id are all kept in a batch.
 
     In a batch the earliest event of an id is kept, whatever the input order. A
-    stream keeps the first to arrive and remembers an id for ``within``.
+    stream keeps the first to arrive and remembers an id for ``within``. Its
+    dedupe has no map-side step, so for an id with very many copies name in
+    ``spread_by`` a number that differs between copies, such as the log offset:
+    the copies are thinned out in ``salts`` places before they meet.
     """
     if events.isStreaming:
-        return with_event_time(events, within).dropDuplicatesWithinWatermark(["event_id"]).drop("event_time")
+        timed = with_event_time(events, within)
+        if spread_by:
+            salted = timed.withColumn("_salt", F.pmod(F.col(spread_by), F.lit(salts)))
+            timed = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
+        return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("event_time")
     known = first_per_key(events.where(F.col("event_id").isNotNull()), ["event_id"], ["event_timestamp"])
     return known.unionByName(events.where(F.col("event_id").isNull()))
 

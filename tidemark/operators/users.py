@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 # How each column of the mergeable state combines.
@@ -33,10 +35,9 @@ def user_state(sessions: DataFrame) -> DataFrame:
     )
 
 
-def merge_states(state: DataFrame, update: DataFrame) -> DataFrame:
-    """Combine two disjoint sets of sessions, each reduced to its state."""
-    both = state.unionByName(update)
-    return both.groupBy("user_id").agg(*[how(c).alias(c) for c, how in _MERGE.items()])
+def merge_states(*states: DataFrame) -> DataFrame:
+    """Combine the states of disjoint sets of sessions into one row per user."""
+    return reduce(DataFrame.unionByName, states).groupBy("user_id").agg(*[how(c).alias(c) for c, how in _MERGE.items()])
 
 
 def user_360(state: DataFrame) -> DataFrame:

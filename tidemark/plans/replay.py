@@ -55,10 +55,18 @@ def rebuild(
     sessions = save("gold.session_metrics", session_metrics(bronze, gap=gap))
     save("silver.user_sessions", user_sessions(sessions))
     save("gold.product_funnel_1m", product_funnel(bronze, window))
-    save("gold.user_360", user_360(user_state(sessions)))
+    refresh_user_360(spark, root)
     return {table: table_path(root, table) for table in DERIVED}
 
 
+def refresh_user_360(spark: SparkSession, root: str) -> str:
+    """Replace the user totals with those of all sessions stored so far."""
+    sessions = read_lake(spark, table_path(root, "gold.session_metrics"), contracts.load("gold.session_metrics"))
+    target = table_path(root, "gold.user_360")
+    write_table(user_360(user_state(sessions)), target)
+    return target
+
+
 def read_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     return {t: read_lake(spark, p, contracts.load(t)) for t, p in paths.items()}
 

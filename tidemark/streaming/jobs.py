@@ -12,7 +12,7 @@ from datetime import timedelta
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import contracts
@@ -20,6 +20,7 @@ from ..operators import changes as entity
 from ..operators.events import WATERMARK, bronze_events, enrich_events, rejected_events, valid_events
 from ..operators.funnel import WINDOW, product_funnel, serving_funnel
 from ..operators.sessions import GAP, serving_sessions, session_metrics, user_sessions
+from ..operators.users import merge_states, user_360, user_state
 from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events
 from . import sinks
 
@@ -79,7 +80,10 @@ def start_sessions(
     gap: timedelta = GAP,
     delay: str = WATERMARK,
 ) -> StreamingQuery:
-    """Closed sessions to silver, gold and the serving table, from one aggregation."""
+    """Closed sessions to silver, gold and the serving table, from one aggregation.
+
+    The batch's share of the user totals is kept as well, see ``read_user_360``.
+    """
     silver = contracts.load("silver.user_sessions").partition_by
     gold = contracts.load("gold.session_metrics").partition_by
 
@@ -90,10 +94,20 @@ def start_sessions(
             serving_sessions(batch), f"{out}/serving/session_metrics", ["session_id"], SESSION_ORDER,
             label, sinks.SERVING_DEFAULTS["session_metrics"],
         )
+        sinks.append_batch(user_state(batch), f"{out}/gold/user_state", label)
 
     return _start(session_metrics(events, gap=gap, delay=delay), checkpoint, trigger, write)
 
 
+def read_user_360(spark: SparkSession, out: str) -> DataFrame:
+    """User totals up to the last batch, merged from the share of each batch.
+
+    Equal to recomputing them from all sessions. A repeated batch replaces its
+    own share, so no session is counted twice.
+    """
+    return user_360(merge_states(spark.read.parquet(f"{out}/gold/user_state").drop(sinks.BATCH)))
+
+
 def start_funnel(
     events: DataFrame,
     out: str,
@@ -140,3 +154,26 @@ def start_changes(
             )
 
     return _start(parse_changes(raw, keep=tuple(position)), checkpoint, trigger, write)
+
+
+def start_all(
+    event_log: Callable[[], DataFrame],
+    change_log: Callable[[], DataFrame],
+    out: str,
+    checkpoints: str,
+    trigger: Trigger = LIVE,
+) -> dict[str, StreamingQuery]:
+    """All jobs, each reading its log on its own and keeping its own checkpoint.
+
+    The logs are given as functions that open a new stream, at the position the
+    caller chose: the live end of a topic, or its beginning for a replay.
+    """
+    starts = {
+        "bronze": lambda c: start_bronze(event_log(), out, c, trigger),
+        "validated": lambda c: start_validated(event_log(), out, c, trigger),
+        "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger),
+        "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger),
+        "dimensions": lambda c: start_changes(change_log(), out, c, trigger, ("category", "user", "product")),
+        "facts": lambda c: start_changes(change_log(), out, c, trigger, ("order", "order_item")),
+    }
+    return {name: start(f"{checkpoints}/{name}") for name, start in starts.items()}

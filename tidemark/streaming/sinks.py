@@ -18,8 +18,11 @@ from ..operators.keyed import last_per_key
 
 BATCH = "batch"
 BASE = "-base"
-# Flush settings of the serving sinks (rows, trigger interval).
-FLUSH = {"sessions": (100, "2 seconds"), "funnel": (200, "5 seconds"), "changes": (100, "2 seconds")}
+# Rows per statement of the relational serving tables.
+FLUSH_ROWS = {
+    "session_metrics": 100, "product_funnel_1m": 200, "categories": 100, "users": 100, "products": 100,
+    "orders": 100, "order_items": 200,
+}
 # Defaults of the serving tables.
 SERVING_DEFAULTS: dict[str, dict[str, Any]] = {
     "session_metrics": {"event_count": 0, "page_views": 0, "add_to_carts": 0, "purchases": 0, "converted": False},
@@ -117,10 +120,12 @@ def merge_statement(target: str, source: str, keys: Sequence[str], columns: Sequ
     )
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 100, **options: str) -> None:
-    """Fill a relational staging table; the database merges it with ``merge_statement``."""
-    (
-        df.write.format("jdbc").mode("overwrite")
-        .options(url=url, dbtable=table, batchsize=str(batch_rows), truncate="true", **options)
-        .save()
-    )
+def staging_options(url: str, table: str, **options: str) -> dict[str, str]:
+    """Writer options of the staging table of a relational serving table."""
+    rows = FLUSH_ROWS.get(table, 100)
+    return {"url": url, "dbtable": f"{table}_staging", "batchsize": str(rows), "truncate": "true", **options}
+
+
+def write_staging(df: DataFrame, url: str, table: str, **options: str) -> None:
+    """Fill the staging table; the database merges it with ``merge_statement``."""
+    df.write.format("jdbc").mode("overwrite").options(**staging_options(url, table, **options)).save()
