@@ -5,16 +5,19 @@ Money is computed in whole cents, so that rounding half up is exact.
 
 from __future__ import annotations
 
+# The typed events keep microseconds, the text of the log milliseconds.
 EVENTS = """ev AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
          CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type,
          'U' || user_id AS user_id, 'S' || user_id AS session_id,
          'P' || regexp_extract(props, '"k": *([0-9]+)', 1) AS product_id,
-         date_trunc('millisecond', ts) AS event_timestamp,
+         ts AS event_timestamp,
          event_id AS id, user_id AS uid, value
   FROM events)"""
 
-BRONZE = EVENTS + """, br AS (
+LOGGED = EVENTS.replace("ts AS event_timestamp", "date_trunc('millisecond', ts) AS event_timestamp")
+
+BRONZE = LOGGED + """, br AS (
   SELECT event_id, event_type, user_id, session_id, product_id, event_timestamp,
          CASE event_type
            WHEN 'page_view' THEN '{"page":"/products/' || product_id || '"'
@@ -30,9 +33,9 @@ BRONZE = EVENTS + """, br AS (
   SELECT * FROM br WHERE event_type IN ('page_view', 'add_to_cart', 'purchase'))"""
 
 
-def sessions(minutes: int = 30, keys: str = "session_id, user_id", end: str = "gap") -> str:
+def sessions(minutes: int = 30, keys: str = "session_id, user_id", end: str = "gap", events: str = EVENTS) -> str:
     tail = f" + INTERVAL {minutes} MINUTE" if end == "gap" else ""
-    return EVENTS + f""", opened AS (
+    return events + f""", opened AS (
   SELECT *, CASE WHEN epoch_us(event_timestamp) - epoch_us(lag(event_timestamp) OVER (
          PARTITION BY {keys} ORDER BY event_timestamp)) <= {minutes * 60_000_000} THEN 0 ELSE 1 END AS opens
   FROM ev), runs AS (
@@ -172,7 +175,7 @@ _LAST_SESSION = """SELECT session_id, user_id, session_date, session_start, sess
   CAST(add_to_carts AS INTEGER) AS add_to_carts, CAST(purchases AS INTEGER) AS purchases, converted
 FROM sm {where} QUALIFY row_number() OVER (
   PARTITION BY session_id ORDER BY session_end DESC, session_start DESC, user_id DESC) = 1"""
-_CLOSED = "WHERE {end} <= (SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM ev)"
+_CLOSED = "WHERE {end} <= (SELECT date_trunc('millisecond', max(event_timestamp) - INTERVAL 5 SECOND) FROM ev)"
 _BRONZE_COLUMNS = "event_id, event_type, user_id, session_id, product_id, event_timestamp, metadata, event_date"
 _REJECTED = """SELECT event_id, event_type, 'event_type unknown' AS reasons FROM br
 WHERE event_type NOT IN ('page_view', 'add_to_cart', 'purchase')"""
@@ -354,7 +357,7 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (ingestion_ts <= TIMESTAMP '2024-01-16 00:00:00') AS rows_before,
         count(*) FILTER (ingestion_ts <= TIMESTAMP '2024-01-31 00:00:00') AS rows_after FROM si)
       SELECT *, rows_after - rows_before AS rows_added FROM n""",
-    "replay_diff": f"WITH {sessions()}, fu AS (SELECT DISTINCT product_id, date_trunc('minute', event_timestamp) "
+    "replay_diff": f"WITH {sessions(events=LOGGED)}, fu AS (SELECT DISTINCT product_id, date_trunc('minute', event_timestamp) "
                    "FROM ev), si AS (SELECT 1 FROM ev WHERE event_type IN ('page_view', 'add_to_cart', 'purchase')), "
                    "u360 AS (SELECT DISTINCT user_id FROM sm) " + _tables(
         ("bronze.raw_events", "ev"), ("silver.validated_events", "si"), ("silver.user_sessions", "sm"),

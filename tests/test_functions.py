@@ -1,11 +1,14 @@
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_scalar
 from tidemark.functions.numeric import rounded_ratio, safe_ratio
-from tidemark.functions.time import as_instant, as_utc, floor_to, from_micros, moment, parse_timestamp, to_micros, truncate
+from tidemark.functions.time import (
+    as_instant, as_utc, cell_start, moment, parse_timestamp, truncate, whole_seconds,
+)
 
 MOMENTS = [
     datetime(2024, 3, 10, 2, 30, 11, 123456),  # does not exist on a New York clock
@@ -20,20 +23,29 @@ def micros(at):
     return (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
 
 
-def test_micros_do_not_depend_on_the_session_zone(new_york):
+def test_time_does_not_depend_on_the_session_zone(new_york):
     df = new_york.createDataFrame([(m,) for m in MOMENTS], "ts timestamp_ntz")
     ts = F.col("ts")
     rows = df.select(
-        ts, to_micros(ts).alias("us"), from_micros(to_micros(ts)).alias("back"),
-        as_utc(as_instant(ts)).alias("through_instant"), F.unix_micros(as_instant(ts)).alias("instant"),
-        floor_to(ts, timedelta(minutes=30)).alias("cell"), truncate(ts, "month").alias("month"),
+        ts, as_utc(as_instant(ts)).alias("back"), F.unix_micros(as_instant(ts)).alias("us"),
+        cell_start(ts, timedelta(minutes=30)).alias("cell"), truncate(ts, "hour").alias("hour"),
+        truncate(ts, "second").alias("second"), truncate(ts, "month").alias("month"),
+        whole_seconds(ts, ts + F.lit(timedelta(days=1, microseconds=999999))).alias("span"),
     ).collect()
+    assert len(rows) == len(MOMENTS)
+    half_hour = 30 * 60 * 1_000_000
     for row in rows:
-        assert row.us == micros(row.ts) == row.instant
-        assert row.back == row.ts == row.through_instant
-        half_hour = 30 * 60 * 1_000_000
+        assert row.us == micros(row.ts) and row.back == row.ts
         assert micros(row.cell) == micros(row.ts) // half_hour * half_hour
+        assert row.hour == row.ts.replace(minute=0, second=0, microsecond=0)
+        assert row.second == row.ts.replace(microsecond=0)
         assert row.month == datetime(row.ts.year, row.ts.month, 1)
+        assert row.span == 86400
+
+
+def test_unknown_grain():
+    with pytest.raises(ValueError):
+        truncate(F.col("ts"), "fortnight")
 
 
 def test_moment_is_taken_literally(new_york):

@@ -66,6 +66,15 @@ def test_change_log_keeps_position(spark):
     assert (row.log_offset, row.entity_type, row.user_id, row.price) == (7, "user", "U1", None)
 
 
+def test_entity_preselection_keeps_escaped_types(spark):
+    texts = ['{"entity_type": "order","order_id":"O1"}', '{"entity_type":"\\u006frder","order_id":"O2"}',
+             '{"entity_type":"order_item","order_item_id":"I"}', '{"entity_type":"user","user_name":"order"}']
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    kept = parse_changes(raw, entities=["order"])
+    assert {r.order_id for r in kept.where("entity_type = 'order'").collect()} == {"O1", "O2"}
+    assert kept.count() == 3 and parse_changes(raw).count() == 4
+
+
 def test_text_log(spark, tmp_path):
     (tmp_path / "a.txt").write_text(LINES["full"] + "\n" + LINES["no json"] + "\n")
     assert parse_events(read_text(spark, str(tmp_path))).count() == 1

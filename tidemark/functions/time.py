@@ -1,8 +1,9 @@
 """Event-time expressions that do not depend on the session time zone.
 
 Lake tables hold zone-less timestamps (TIMESTAMP_NTZ) that are read as UTC.
-Watermarks need TIMESTAMP, so the two are converted through microseconds
-since the epoch rather than by a cast, which would use the session zone.
+Watermarks need TIMESTAMP. A cast between the two would use the session zone,
+as do ``timestampdiff``, ``timestampadd`` and ``unix_micros`` on a zone-less
+timestamp, so they meet through intervals since the epoch.
 """
 
 from __future__ import annotations
@@ -17,11 +18,6 @@ SECONDS = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 ISO_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
 FORMATS = {"millis": MILLIS, "seconds": SECONDS, "iso": ISO_OFFSET}
 
-SUB_DAY_GRAINS = {
-    "second": timedelta(seconds=1),
-    "minute": timedelta(minutes=1),
-    "hour": timedelta(hours=1),
-}
 DATE_GRAINS = ("day", "week", "month", "quarter", "year")
 
 
@@ -34,65 +30,56 @@ def moment(at: datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def micros_of(delta: timedelta) -> int:
-    return delta // timedelta(microseconds=1)
-
-
-def to_micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a zone-less UTC timestamp.
-
-    Put together from the fields: ``timestampdiff`` and ``unix_micros`` would
-    first read the timestamp in the session zone.
-    """
-    days = F.unix_date(F.to_date(ts)).cast("bigint")
-    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
-    seconds = F.extract(F.lit("SECOND"), ts)
-    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
-
-
-def from_micros(micros: Column) -> Column:
-    """Zone-less UTC timestamp of microseconds since the epoch."""
-    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * micros
-
-
 def as_instant(ts: Column) -> Column:
     """TIMESTAMP_NTZ in UTC -> TIMESTAMP, as watermarks require."""
-    return F.timestamp_micros(to_micros(ts))
+    return F.timestamp_seconds((ts - _epoch()).cast("interval second").cast("decimal(18,6)"))
 
 
 def as_utc(instant: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ in UTC, as lake tables store it."""
-    return from_micros(F.unix_micros(instant))
+    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(instant)
+
 
+def whole_seconds(start: Column, end: Column) -> Column:
+    """Completed seconds between two zone-less timestamps."""
+    return (end - start).cast("interval second").cast("bigint")
 
-def floor_micros(micros: Column, step: timedelta) -> Column:
-    """Start of the ``step``-wide cell holding ``micros`` (exact, also before 1970)."""
-    return micros - F.pmod(micros, F.lit(micros_of(step)))
 
+def duration(length: timedelta) -> str:
+    """The length as the text that window functions take."""
+    return f"{length // timedelta(microseconds=1)} microseconds"
 
-def floor_to(ts: Column, step: timedelta) -> Column:
-    return from_micros(floor_micros(to_micros(ts), step))
+
+def cell_start(ts: Column | str, width: timedelta) -> Column:
+    """Start of the ``width``-wide cell, counted from the epoch, that holds ``ts``.
+
+    A fixed window, hence usable once per ``select``, and dropping rows without
+    a timestamp.
+    """
+    return F.window(ts, duration(width))["start"]
 
 
 def truncate(ts: Column, grain: str) -> Column:
     """``date_trunc`` for zone-less timestamps and dates; returns a timestamp."""
-    if grain in SUB_DAY_GRAINS:
-        return floor_to(ts.cast("timestamp_ntz"), SUB_DAY_GRAINS[grain])
-    if grain == "day":
-        return F.to_date(ts).cast("timestamp_ntz")
     if grain in DATE_GRAINS:
-        return F.trunc(F.to_date(ts), grain).cast("timestamp_ntz")
-    raise ValueError(f"unknown time grain {grain!r}")
+        day = F.to_date(ts)
+        return (day if grain == "day" else F.trunc(day, grain)).cast("timestamp_ntz")
+    time_of_day = [F.hour, F.minute, F.second]
+    try:
+        kept = time_of_day[:["hour", "minute", "second"].index(grain) + 1]
+    except ValueError:
+        raise ValueError(f"unknown time grain {grain!r}") from None
+    since_midnight = F.make_dt_interval(F.lit(0), *[part(ts) for part in kept])
+    return F.to_date(ts).cast("timestamp_ntz") + since_midnight
 
 
 def parse_timestamp(text: Column, formats: tuple[str, ...] = ("millis",)) -> Column:
     """Text -> zone-less UTC timestamp; NULL when no named format matches."""
     tries = []
     for name in formats:
-        layout = FORMATS[name]
-        matched = F.when(text.rlike(layout), text)
+        matched = F.when(text.rlike(FORMATS[name]), text)
         if name == "iso":
             tries.append(as_utc(matched.try_cast("timestamp")))
         else:
             tries.append(matched.try_cast("timestamp_ntz"))
-    return F.coalesce(*tries)
+    return F.coalesce(*tries) if len(tries) > 1 else tries[0]

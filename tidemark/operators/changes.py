@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.time import floor_to, moment, parse_timestamp
+from ..functions.time import cell_start, moment, parse_timestamp
 from .keyed import last_per_key
 
 MONEY = "decimal(10,2)"
@@ -125,12 +125,13 @@ def history(
     """
     log = log.where(F.col(key).isNotNull() & F.col(changed).isNotNull())
     versions = last_per_key(log, [key, changed], tie_break)
-    versions = versions.withColumn("_cell", floor_to(F.col(changed), cell))
+    versions = versions.withColumn("_cell", cell_start(changed, cell))
     in_cell = Window.partitionBy(key, "_cell").orderBy(changed)
 
     timeline = Window.partitionBy(key).orderBy("_cell")
     cells = (
-        log.groupBy(key, floor_to(F.col(changed), cell).alias("_cell"))
+        log.select(key, changed, cell_start(changed, cell).alias("_cell"))
+        .groupBy(key, "_cell")
         .agg(F.min(changed).alias("_first"))
         .withColumn("_next_cell", F.lead("_first").over(timeline))
         .select(key, "_cell", "_next_cell")

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.time import as_utc, floor_to, micros_of
+from ..functions.time import as_utc, duration
 from .events import WATERMARK, with_event_time
 from .sessions import TYPE_COUNTS, type_counts
 
@@ -19,34 +19,26 @@ def product_funnel(events: DataFrame, size: timedelta = WINDOW, delay: str = WAT
     Events without a product form a group of their own. The counts are combined
     before the exchange, so a popular product costs one row per task and window.
     """
+    time, utc = "event_timestamp", F.col
     if events.isStreaming:
-        length = f"{micros_of(size)} microseconds"
-        windows = with_event_time(events, delay).groupBy(
-            "product_id", F.window("event_time", length).alias("_window")
-        )
-        start, end = as_utc(F.col("_window.start")), as_utc(F.col("_window.end"))
-        bounds = {"window_start": start, "window_end": end}
-        counted = windows.agg(*type_counts()).withColumns(bounds)
-    else:
-        timed = events.where(F.col("event_timestamp").isNotNull())
-        start = floor_to(F.col("event_timestamp"), size)
-        windows = timed.groupBy("product_id", start.alias("window_start"))
-        counted = windows.agg(*type_counts()).withColumn("window_end", _end(size))
-    return counted.select("product_id", "window_start", "window_end", *TYPE_COUNTS.values())
-
-
-def _end(size: timedelta):
-    return F.col("window_start") + F.lit(size)
+        events, time, utc = with_event_time(events, delay), "event_time", lambda c: as_utc(F.col(c))
+    windows = events.groupBy("product_id", F.window(time, duration(size)).alias("_window"))
+    return windows.agg(*type_counts()).select(
+        "product_id",
+        utc("_window.start").alias("window_start"),
+        utc("_window.end").alias("window_end"),
+        *TYPE_COUNTS.values(),
+    )
 
 
 def coarser_funnel(funnel: DataFrame, fine: timedelta, coarse: timedelta) -> DataFrame:
     """Re-sum a funnel of ``fine`` windows into ``coarse`` ones."""
     if coarse % fine:
         raise ValueError(f"{coarse} is not a multiple of {fine}")
-    summed = funnel.groupBy("product_id", floor_to(F.col("window_start"), coarse).alias("window_start")).agg(
-        *[F.sum(c).alias(c) for c in TYPE_COUNTS.values()]
-    )
-    return summed.select("product_id", "window_start", _end(coarse).alias("window_end"), *TYPE_COUNTS.values())
+    windows = funnel.groupBy("product_id", F.window("window_start", duration(coarse)).alias("_window"))
+    totals = windows.agg(*[F.sum(c).alias(c) for c in TYPE_COUNTS.values()])
+    return totals.select("product_id", F.expr("_window.start AS window_start"), F.expr("_window.end AS window_end"),
+                         *TYPE_COUNTS.values())
 
 
 def serving_funnel(funnel: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.time import floor_micros, from_micros, micros_of, to_micros
+from ..functions.time import as_utc, cell_start, duration, whole_seconds
 from .events import EVENT_TYPES, WATERMARK, with_event_time
 
 KEYS = ("session_id", "user_id")
@@ -23,48 +23,41 @@ COUNTS = ("event_count", *TYPE_COUNTS.values())
 
 
 def type_counts() -> list[Column]:
-    return [F.count_if(F.col("event_type") == t).alias(name) for t, name in TYPE_COUNTS.items()]
+    return [F.expr(f"count_if(event_type = '{t}') AS {name}") for t, name in TYPE_COUNTS.items()]
 
 
 def _batch_sessions(events: DataFrame, keys: Sequence[str], gap: timedelta) -> DataFrame:
-    """Sessions from per-cell summaries, bounds in microseconds.
+    """Sessions from per-cell summaries.
 
     Events of one key in one gap-wide cell are less than a gap apart, so they
     share a session and may be summed before any ordering. That aggregate is
     combined in the map tasks, and leaves a key at most (time span / gap) rows
     to order, however many events it has.
     """
-    timed = events.where(F.col("event_timestamp").isNotNull())
-    micros = to_micros(F.col("event_timestamp"))
+    timed = events.where("event_timestamp IS NOT NULL")
     cells = (
-        timed.select(*keys, "event_type", micros.alias("_us"))
-        .groupBy(*keys, floor_micros(F.col("_us"), gap).alias("_cell"))
-        .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+        timed.select(*keys, "event_type", "event_timestamp", cell_start("event_timestamp", gap).alias("_cell"))
+        .groupBy(*keys, "_cell")
+        .agg(F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"),
              F.count("*").alias("event_count"), *type_counts())
     )
     in_order = Window.partitionBy(*keys).orderBy("_cell")
-    pause = F.col("_first") - F.lag("_last").over(in_order)
-    opens = F.when(pause <= micros_of(gap), 0).otherwise(1)
-    numbered = cells.withColumn("_opens", opens).withColumn(
+    joins = F.col("_first") - F.lag("_last").over(in_order) <= F.lit(gap)
+    numbered = cells.withColumn("_opens", F.when(joins, 0).otherwise(1)).withColumn(
         "_run", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return (
-        numbered.groupBy(*keys, "_run")
-        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
-             *[F.sum(c).alias(c) for c in COUNTS])
-        .drop("_run")
-    )
+    totals = [F.expr(f"sum({c}) AS {c}") for c in COUNTS]
+    runs = numbered.groupBy(*keys, "_run")
+    return runs.agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), *totals)
 
 
 def _stream_sessions(events: DataFrame, keys: Sequence[str], gap: timedelta, delay: str) -> DataFrame:
     """The same columns from a stream; a row appears once the watermark passes its end."""
-    length = f"{micros_of(gap)} microseconds"
     return (
         with_event_time(events, delay)
-        .groupBy(*keys, F.session_window("event_time", length).alias("_window"))
-        .agg(F.unix_micros(F.min("event_time")).alias("_first"), F.unix_micros(F.max("event_time")).alias("_last"),
+        .groupBy(*keys, F.session_window("event_time", duration(gap)).alias("_window"))
+        .agg(as_utc(F.min("event_time")).alias("_first"), as_utc(F.max("event_time")).alias("_last"),
              F.count("*").alias("event_count"), *type_counts())
-        .drop("_window")
     )
 
 
@@ -86,16 +79,14 @@ def session_metrics(
         runs = _stream_sessions(events, keys, gap, delay)
     else:
         runs = _batch_sessions(events, keys, gap)
-    tail = micros_of(gap) if end == "gap" else 0
-    bounded = runs.withColumn("_end", F.col("_last") + F.lit(tail))
+    closed = F.col("_last") + F.lit(gap) if end == "gap" else F.col("_last")
+    bounded = runs.select(*keys, F.col("_first").alias("session_start"), closed.alias("session_end"), *COUNTS)
     return bounded.select(
-        *keys,
-        from_micros(F.col("_first")).alias("session_start"),
-        from_micros(F.col("_end")).alias("session_end"),
-        F.expr("(_end - _first) div 1000000").alias("session_duration_seconds"),
+        *keys, "session_start", "session_end",
+        whole_seconds(F.col("session_start"), F.col("session_end")).alias("session_duration_seconds"),
         *COUNTS,
-        (F.col("purchases") > 0).alias("converted"),
-        F.to_date(from_micros(F.col("_first"))).alias("session_date"),
+        F.expr("purchases > 0 AS converted"),
+        F.expr("to_date(session_start) AS session_date"),
     )
 
 
@@ -106,7 +97,7 @@ def user_sessions(metrics: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def serving_sessions(metrics: DataFrame) -> DataFrame:
     """Columns and narrower counts of the serving table."""
-    narrow = [F.col(c).cast("int").alias(c) for c in COUNTS]
+    narrow = [F.expr(f"CAST({c} AS INT) AS {c}") for c in COUNTS]
     return metrics.select(
         "session_id", "user_id", "session_date", "session_start", "session_end",
         "session_duration_seconds", *narrow, "converted",

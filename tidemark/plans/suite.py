@@ -198,7 +198,7 @@ def user_360_incremental(spark, sf_dir):
 
 def _route_query(kind: str, name: str) -> None:
     def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return entity.route(parse_changes(wh.change_log(spark, sf_dir)), kind)
+        return entity.route(parse_changes(wh.change_log(spark, sf_dir), entities=[kind]), kind)
 
     routed.__name__ = name
     query(routed)
@@ -214,7 +214,7 @@ _route_query("order_item", "cdc_order_items")
 @query
 def serving_order_items(spark, sf_dir):
     """One row per line id, the last by order date."""
-    items = entity.route(parse_changes(wh.change_log(spark, sf_dir)), "order_item")
+    items = entity.route(parse_changes(wh.change_log(spark, sf_dir), entities=["order_item"]), "order_item")
     return last_per_key(items, ["order_item_id"], ["order_date"])
 
 
@@ -517,7 +517,10 @@ def stream_batch_diff(spark, sf_dir):
     gold = contracts.load("gold.session_metrics")
     streamed = read_lake(spark, f"{root}/gold/session_metrics", gold)
     events = wh.click_events(spark, sf_dir)
-    newest = events.agg(F.max("event_timestamp") - F.expr("INTERVAL '5' SECOND"))
+    # Watermarks have millisecond precision.
+    newest = events.agg(F.max("event_timestamp").alias("_max")).selectExpr(
+        "CAST(substr(CAST(_max - INTERVAL '5' SECOND AS STRING), 1, 23) AS TIMESTAMP_NTZ)"
+    )
     batch = session_metrics(events, gap=6 * HOUR)
     closed = batch.where(F.col("session_end") <= newest.scalar())
     return compare("session_metrics", streamed, closed).withColumnRenamed("table", "table_name")

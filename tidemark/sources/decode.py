@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _CORRUPT = "_corrupt"
 
 
 def _decoded(raw: DataFrame, fields: Sequence[str], value: str, keep: Sequence[str]) -> DataFrame:
-    """The records with ``_readable``, false where the parser gave up on all of a record.
-
-    A generator makes the columns, so a filter on a field, or on the flag over
-    all of them, stays above it instead of parsing the text again.
-    """
+    """The text and its record. A generator makes both, so a filter on a field
+    stays above it instead of parsing the text again."""
     schema = ", ".join(f"`{f}` STRING" for f in (*fields, _CORRUPT))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = F.struct(F.col(value).alias("_text"), F.from_json(value, schema, options).alias("_record"))
+    return raw.select(*keep, F.inline(F.array(parsed)))
 
-    def flagged(record):
-        any_field = F.coalesce(*[record[f] for f in fields]).isNotNull()
-        readable = record.isNotNull() & (record[_CORRUPT].isNull() | any_field)
-        return F.struct(F.col(value).alias("_text"), readable.alias("_readable"), record.alias("_record"))
 
-    records = F.transform(F.array(F.from_json(value, schema, options)), flagged)
-    return raw.select(*keep, F.inline(records)).select(*keep, "_text", "_readable", "_record.*")
+def _readable(fields: Sequence[str]) -> Column:
+    """False where the parser gave up on all of a record, true for a single bad field.
+
+    The record is compared as a whole: a condition on every field by name would
+    multiply the constraints Spark derives for the renamed fields.
+    """
+    none = ", ".join(f"'{f}', CAST(NULL AS STRING)" for f in fields)
+    nothing = f"_record <=> named_struct({none}, '{_CORRUPT}', _record.{_CORRUPT})"
+    return F.expr(f"_record IS NOT NULL AND (_record.{_CORRUPT} IS NULL OR NOT ({nothing}))")
 
 
 def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -33,13 +35,14 @@ def decode(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Se
     A missing field is NULL. A nested object keeps its JSON text. ``keep``
     names columns of ``raw`` to carry along, such as the log offset.
     """
-    return _decoded(raw, fields, value, keep).where("_readable").drop("_text", "_readable", _CORRUPT)
+    records = _decoded(raw, fields, value, keep).where(_readable(fields))
+    return records.select(*keep, "_record.*").drop(_CORRUPT)
 
 
 def undecodable(raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """The complement of ``decode``: the original text of what could not be read."""
     return (
         _decoded(raw, fields, value, keep)
-        .where(~F.col("_readable"))
+        .where(~_readable(fields))
         .select(*keep, F.col("_text").alias(value), F.lit("unparseable").alias("reason"))
     )

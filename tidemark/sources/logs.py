@@ -6,9 +6,14 @@ comes from is the caller's choice: a message broker, text files or a table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import Contract
+from ..operators.changes import ROUTES
 from .decode import decode, undecodable
 
 # Payload fields of the two logs.
@@ -74,6 +79,19 @@ def rejected_text(raw: DataFrame) -> DataFrame:
     return undecodable(raw, EVENT_FIELDS)
 
 
-def parse_changes(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Entity changes, one wide record each; parsed once for all entity types."""
-    return decode(raw, CHANGE_FIELDS, keep=keep)
+def parse_changes(
+    raw: DataFrame, keep: Sequence[str] = (), entities: Sequence[str] | None = None
+) -> DataFrame:
+    """Entity changes, one wide record each; parsed once for all entity types.
+
+    With ``entities`` records of other types are left unparsed and only the
+    fields of these types are read. The type is in the text as a quoted word,
+    unless the text spells characters as escapes.
+    """
+    fields = CHANGE_FIELDS
+    if entities:
+        used = {f for e in entities for f in ROUTES[e]}
+        fields = [f for f in CHANGE_FIELDS if f in used or f in ("entity_type", "timestamp")]
+        named = [F.col("value").contains(f'"{e}"') for e in entities]
+        raw = raw.where(reduce(or_, named, F.col("value").contains("\\u")))
+    return decode(raw, fields, keep=keep)

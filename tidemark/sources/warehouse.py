@@ -8,47 +8,27 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.time import from_micros, to_micros
-from ..operators.changes import CHANGED, MONEY
 from ..operators.skew import salted_join
 
 # Stand-ins for now: the ends of the event and the order data.
 EVENTS_AS_OF = datetime(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 1)
-FIRST_REGISTRATION = date(1999, 8, 2)
 
+_EVENT_TYPE = "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END"
+_LEAF_CATEGORY = "'C-' || p_type || '-' || p_brand"
+_REGISTERED = "date_add(DATE'1999-08-02', CAST(c_custkey * 37 % 730 AS INT))"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _prefixed(prefix: str, column: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
+def _payload_time(ts: str) -> str:
+    """Timestamp text of the logs: millisecond precision."""
+    text = f"CAST({ts} AS STRING)"
+    return f"rpad(CASE WHEN instr({text}, '.') > 0 THEN {text} ELSE {text} || '.' END, 23, '0')"
 
-def _payload_time(ts: Column) -> Column:
-    """Timestamp text of the log: millisecond precision."""
-    text = ts.cast("timestamp_ntz").cast("string")
-    return F.rpad(F.when(F.instr(text, ".") > 0, text).otherwise(F.concat(text, F.lit("."))), 23, "0")
 
-
-def _event_columns(events: DataFrame) -> DataFrame:
-    kind = (
-        F.when(F.col("event_type") == "view", "page_view")
-        .when(F.col("event_type") == "click", "add_to_cart")
-        .otherwise(F.col("event_type"))
-    )
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        kind.alias("event_type"),
-        _prefixed("U", "user_id").alias("user_id"),
-        _prefixed("S", "user_id").alias("session_id"),
-        F.concat(F.lit("P"), F.get_json_object("props", "$.k")).alias("product_id"),
-        "ts", "value",
-        F.col("event_id").alias("_id"), F.col("user_id").alias("_user"),
-    )
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,140 +39,114 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def click_events(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     """Typed click events, as a columnar bronze table would hold them, without metadata."""
-    events = _event_columns(_table(spark, sf_dir, "events") if source is None else source)
-    micros = to_micros(F.col("ts"))
-    return events.select(
-        "event_id", "event_type", "user_id", "session_id", "product_id",
-        from_micros(micros - F.pmod(micros, F.lit(1000))).alias("event_timestamp"),
+    events = _table(spark, sf_dir, "events") if source is None else source
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        f"{_EVENT_TYPE} AS event_type",
+        "'U' || user_id AS user_id",
+        "'S' || user_id AS session_id",
+        "'P' || get_json_object(props, '$.k') AS product_id",
+        "ts AS event_timestamp",
     )
 
 
 def click_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     """The raw click log: one JSON text per event."""
-    events = _event_columns(_table(spark, sf_dir, "events") if source is None else source)
-    is_view, is_cart, is_buy = (
-        F.col("event_type") == t for t in ("page_view", "add_to_cart", "purchase")
-    )
-    metadata = F.struct(
-        F.when(is_view, F.concat(F.lit("/products/"), F.col("product_id"))).alias("page"),
-        F.when(is_view & (F.col("_user") % 5 > 1), F.concat(F.lit("https://ref.example/"), F.col("_user") % 7))
-        .alias("referrer"),
-        F.when(is_cart, (F.col("_id") % 5 + 1).cast("int")).alias("quantity"),
-        F.when(is_cart, F.col("value")).alias("price"),
-        F.when(is_buy, F.concat(F.lit("ORD-"), F.col("event_id"))).alias("order_id"),
-        F.when(is_buy, F.col("value")).alias("total"),
+    events = _table(spark, sf_dir, "events") if source is None else source
+    named = events.selectExpr(
+        "event_id", "user_id", "value", f"{_EVENT_TYPE} AS kind",
+        "'P' || get_json_object(props, '$.k') AS product", f"{_payload_time('ts')} AS time",
     )
-    record = F.struct(
-        "event_id", "event_type", "user_id", "session_id", "product_id",
-        _payload_time(F.col("ts")).alias("timestamp"), metadata.alias("metadata"),
-    )
-    return events.select(F.to_json(record).alias("value"))
+    return named.selectExpr("""to_json(named_struct(
+        'event_id', CAST(event_id AS STRING), 'event_type', kind,
+        'user_id', 'U' || user_id, 'session_id', 'S' || user_id, 'product_id', product, 'timestamp', time,
+        'metadata', named_struct(
+            'page', CASE WHEN kind = 'page_view' THEN '/products/' || product END,
+            'referrer', CASE WHEN kind = 'page_view' AND user_id % 5 > 1
+                        THEN 'https://ref.example/' || (user_id % 7) END,
+            'quantity', CASE WHEN kind = 'add_to_cart' THEN CAST(event_id % 5 + 1 AS INT) END,
+            'price', CASE WHEN kind = 'add_to_cart' THEN value END,
+            'order_id', CASE WHEN kind = 'purchase' THEN 'ORD-' || event_id END,
+            'total', CASE WHEN kind = 'purchase' THEN value END))) AS value""")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part types as roots, the brands of a type below it."""
-    part = _table(spark, sf_dir, "part")
-    roots = part.select(
-        _prefixed("C-", "p_type").alias("category_id"), F.col("p_type").alias("name"),
-        F.lit(None).cast("string").alias("parent_category_id"),
-    )
-    leaves = part.select(
-        _leaf_category().alias("category_id"),
-        F.concat_ws(" ", "p_brand", "p_type").alias("name"),
-        _prefixed("C-", "p_type").alias("parent_category_id"),
+    part = _table(spark, sf_dir, "part").select("p_type", "p_brand").distinct()
+    roots = part.selectExpr(
+        "'C-' || p_type AS category_id", "p_type AS name", "CAST(NULL AS STRING) AS parent_category_id"
+    ).distinct()
+    leaves = part.selectExpr(
+        f"{_LEAF_CATEGORY} AS category_id", "p_brand || ' ' || p_type AS name", "'C-' || p_type AS parent_category_id"
     )
-    return roots.unionByName(leaves).distinct()
-
-
-def _leaf_category() -> Column:
-    return F.concat(F.lit("C-"), F.col("p_type"), F.lit("-"), F.col("p_brand"))
-
-
-def _registered() -> Column:
-    return F.date_add(F.lit(FIRST_REGISTRATION), (F.col("c_custkey") * 37 % 730).cast("int"))
+    return roots.unionByName(leaves)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        _prefixed("U", "c_custkey").alias("user_id"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lit("u"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        F.col("n_name").alias("city"),
-        _registered().alias("registered_date"),
-        F.when(F.col("c_acctbal") < 0, "inactive").otherwise("active").alias("status"),
-        _registered().cast("timestamp_ntz").alias("updated_at"),
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "'U' || c_custkey AS user_id", "c_name AS name", "'u' || c_custkey || '@example.com' AS email",
+        "n_name AS city", f"{_REGISTERED} AS registered_date",
+        "CASE WHEN c_acctbal < 0 THEN 'inactive' ELSE 'active' END AS status",
+        f"CAST({_REGISTERED} AS TIMESTAMP_NTZ) AS updated_at",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
-        _prefixed("P", "p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
-        _leaf_category().alias("category_id"),
-        F.col("p_retailprice").cast(MONEY).alias("price"),
-        F.lit("active").alias("status"),
-        F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00'").alias("created_at"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "'P' || p_partkey AS product_id", "p_name AS name", f"{_LEAF_CATEGORY} AS category_id",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS price", "'active' AS status",
+        "TIMESTAMP_NTZ'1995-01-01 00:00:00' AS created_at",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(
-        _prefixed("O", "o_orderkey").alias("order_id"),
-        _prefixed("U", "o_custkey").alias("user_id"),
-        F.col("o_totalprice").cast(MONEY).alias("total"),
-        F.when(F.col("o_orderstatus") == "F", "completed").otherwise("open").alias("status"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
-        F.to_date("o_orderdate").alias("order_date"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "'O' || o_orderkey AS order_id", "'U' || o_custkey AS user_id",
+        "CAST(o_totalprice AS DECIMAL(10,2)) AS total",
+        "CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'open' END AS status",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS created_at", "to_date(o_orderdate) AS order_date",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines. Their ids repeat, as the line numbers they are made of do."""
-    line_total = F.col("l_extendedprice").cast(MONEY)
-    return _table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", F.lit("OI"), F.col("l_orderkey"), F.col("l_linenumber")).alias("order_item_id"),
-        _prefixed("O", "l_orderkey").alias("order_id"),
-        _prefixed("P", "l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (line_total / F.col("l_quantity").cast("decimal(10,0)")).cast(MONEY).alias("unit_price"),
-        line_total.alias("line_total"),
-        F.to_date("l_shipdate").alias("order_date"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "'OI-' || l_orderkey || '-' || l_linenumber AS order_item_id",
+        "'O' || l_orderkey AS order_id", "'P' || l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity",
+        "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) / CAST(l_quantity AS DECIMAL(10,0)) AS DECIMAL(10,2))"
+        " AS unit_price",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS line_total", "to_date(l_shipdate) AS order_date",
     )
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide entity log: one JSON text per entity row, all five kinds."""
-    day = F.col("order_date").cast("timestamp_ntz")
-    made = {
-        "category": (categories(spark, sf_dir), F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00'"), {
-            "category_id": "category_id", "cat_name": "name", "parent_category_id": "parent_category_id"}),
-        "user": (users(spark, sf_dir), F.col("updated_at"), {
-            "user_id": "user_id", "user_name": "name", "user_email": "email", "user_city": "city",
-            "registered_date": "registered_date", "user_status": "status", "updated_at": "updated_at"}),
-        "product": (products(spark, sf_dir), F.col("created_at"), {
-            "product_id": "product_id", "product_name": "name", "category_id": "category_id",
-            "price": "price", "product_status": "status", "created_at": "created_at"}),
-        "order": (orders(spark, sf_dir), F.col("created_at"), {
-            "order_id": "order_id", "order_user_id": "user_id", "order_total": "total",
-            "order_status": "status", "order_created_at": "created_at", "order_date": "order_date"}),
-        "order_item": (order_items(spark, sf_dir), day, {
-            "order_item_id": "order_item_id", "order_item_order_id": "order_id", "product_id": "product_id",
-            "quantity": "quantity", "unit_price": "unit_price", "line_total": "line_total",
-            "order_date": "order_date"}),
-    }
-    texts = []
-    for kind, (rows, changed, names) in made.items():
-        times = {c for c, t in rows.dtypes if t == "timestamp_ntz"}
-        fields = [
-            (_payload_time(F.col(c)) if c in times else F.col(c)).alias(field) for field, c in names.items()
-        ]
-        record = F.struct(F.lit(kind).alias("entity_type"), _payload_time(changed).alias("timestamp"), *fields)
-        texts.append(rows.select(F.to_json(record).alias("value")))
-    log = texts[0]
-    for text in texts[1:]:
-        log = log.unionByName(text)
-    return log
+    start = _payload_time("TIMESTAMP_NTZ'1995-01-01 00:00:00'")
+
+    def text(rows: DataFrame, kind: str, changed: str, fields: str) -> DataFrame:
+        return rows.selectExpr(
+            f"to_json(named_struct('entity_type', '{kind}', 'timestamp', {changed}, {fields})) AS value"
+        )
+
+    log = text(categories(spark, sf_dir), "category", start,
+               "'category_id', category_id, 'cat_name', name, 'parent_category_id', parent_category_id")
+    log = log.unionByName(text(
+        users(spark, sf_dir), "user", _payload_time("updated_at"),
+        "'user_id', user_id, 'user_name', name, 'user_email', email, 'user_city', city, "
+        f"'registered_date', registered_date, 'user_status', status, 'updated_at', {_payload_time('updated_at')}"))
+    log = log.unionByName(text(
+        products(spark, sf_dir), "product", start,
+        "'product_id', product_id, 'product_name', name, 'category_id', category_id, 'price', price, "
+        f"'product_status', status, 'created_at', {_payload_time('created_at')}"))
+    log = log.unionByName(text(
+        orders(spark, sf_dir), "order", _payload_time("created_at"),
+        "'order_id', order_id, 'order_user_id', user_id, 'order_total', total, 'order_status', status, "
+        f"'order_created_at', {_payload_time('created_at')}, 'order_date', order_date"))
+    return log.unionByName(text(
+        order_items(spark, sf_dir), "order_item", _payload_time("CAST(order_date AS TIMESTAMP_NTZ)"),
+        "'order_item_id', order_item_id, 'order_item_order_id', order_id, 'product_id', product_id, "
+        "'quantity', quantity, 'unit_price', unit_price, 'line_total', line_total, 'order_date', order_date"))
 
 
 def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,18 +154,14 @@ def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The status follows the order's; ``change_seq`` orders changes of one day.
     """
-    people = users(spark, sf_dir).select("user_id", "name", "email", "city", "status", "registered_date")
-    registered = people.select(
-        "user_id", "name", "email", "city", "status",
-        F.col("registered_date").cast("timestamp_ntz").alias(CHANGED),
-        F.lit(-1).cast("bigint").alias("change_seq"),
+    people = users(spark, sf_dir)
+    registered = people.selectExpr(
+        "user_id", "name", "email", "city", "status", "updated_at AS change_ts", "CAST(-1 AS BIGINT) AS change_seq"
     )
-    order = _table(spark, sf_dir, "orders").select(
-        _prefixed("U", "o_custkey").alias("user_id"),
-        F.when(F.col("o_orderstatus") == "F", "inactive").otherwise("active").alias("status"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias(CHANGED),
-        F.col("o_orderkey").alias("change_seq"),
+    placed = _table(spark, sf_dir, "orders").selectExpr(
+        "'U' || o_custkey AS user_id",
+        "CASE WHEN o_orderstatus = 'F' THEN 'inactive' ELSE 'active' END AS status",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS change_ts", "o_orderkey AS change_seq",
     )
     profile = people.select("user_id", "name", "email", "city")
-    updated = salted_join(order, profile, "user_id", spread_by=["change_seq"])
-    return registered.unionByName(updated)
+    return registered.unionByName(salted_join(placed, profile, "user_id", spread_by=["change_seq"]))

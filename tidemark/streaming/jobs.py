@@ -153,7 +153,7 @@ def start_changes(
                 sinks.SERVING_DEFAULTS.get(table),
             )
 
-    return _start(parse_changes(raw, keep=tuple(position)), checkpoint, trigger, write)
+    return _start(parse_changes(raw, position, entities), checkpoint, trigger, write)
 
 
 def start_all(
