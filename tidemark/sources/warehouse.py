@@ -51,13 +51,17 @@ def click_events(spark: SparkSession, sf_dir: str, source: DataFrame | None = No
 
 
 def click_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
-    """The raw click log: one JSON text per event."""
+    """The raw click log: one JSON text per event.
+
+    A generator makes the text, so it is written once per row: a filter on it
+    would otherwise write it again.
+    """
     events = _table(spark, sf_dir, "events") if source is None else source
     named = events.selectExpr(
         "event_id", "user_id", "value", f"{_EVENT_TYPE} AS kind",
         "'P' || get_json_object(props, '$.k') AS product", f"{_payload_time('ts')} AS time",
     )
-    return named.selectExpr("""to_json(named_struct(
+    return named.selectExpr("""explode(array(to_json(named_struct(
         'event_id', CAST(event_id AS STRING), 'event_type', kind,
         'user_id', 'U' || user_id, 'session_id', 'S' || user_id, 'product_id', product, 'timestamp', time,
         'metadata', named_struct(
@@ -67,7 +71,7 @@ def click_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None)
             'quantity', CASE WHEN kind = 'add_to_cart' THEN CAST(event_id % 5 + 1 AS INT) END,
             'price', CASE WHEN kind = 'add_to_cart' THEN value END,
             'order_id', CASE WHEN kind = 'purchase' THEN 'ORD-' || event_id END,
-            'total', CASE WHEN kind = 'purchase' THEN value END))) AS value""")
+            'total', CASE WHEN kind = 'purchase' THEN value END))))) AS value""")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,13 +125,12 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide entity log: one JSON text per entity row, all five kinds."""
+    """The wide entity log: one JSON text per entity row, all five kinds, each written once."""
     start = _payload_time("TIMESTAMP_NTZ'1995-01-01 00:00:00'")
 
     def text(rows: DataFrame, kind: str, changed: str, fields: str) -> DataFrame:
-        return rows.selectExpr(
-            f"to_json(named_struct('entity_type', '{kind}', 'timestamp', {changed}, {fields})) AS value"
-        )
+        record = f"named_struct('entity_type', '{kind}', 'timestamp', {changed}, {fields})"
+        return rows.selectExpr(f"explode(array(to_json({record}))) AS value")
 
     log = text(categories(spark, sf_dir), "category", start,
                "'category_id', category_id, 'cat_name', name, 'parent_category_id', parent_category_id")
