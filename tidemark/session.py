@@ -19,6 +19,8 @@ STREAM_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Upload what a batch changed, not the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Sessions are merged before the exchange, so a hot key sends sessions, not events.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
