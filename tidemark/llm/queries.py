@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.licenses import license_labels
 from tidemark.llm.mixing import DIMENSIONS, mix
+from tidemark.llm.pii import BASE_KINDS, personal_data, written
+from tidemark.llm.pieces import encode_documents
 from tidemark.llm.quality import quality_rules
+from tidemark.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +33,34 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("probability", 9).alias("probability"), "sampled")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal_data(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
+
+    def count(i: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(BASE_KINDS)]
+    return out.select("row.doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_documents(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return out.select("row.doc_id", "ids", "n_ids", "n_bytes", "exact")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op8_simhash": op8_simhash,
+    "op9_personal_data": op9_personal_data,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES: dict[str, str] = {}
