@@ -11,6 +11,8 @@ from tidemark.llm.pii import BASE_KINDS, personal_data, written
 from tidemark.llm.pieces import encode_documents
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.vectors import index, nearest
+from tidemark.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("probability", 9).alias("probability"), "sampled")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, dim = index(_table(spark, sf_dir, "embeddings"))
+    return nearest(coded, dim, F.col("vec_id") % 100 == 0)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -58,6 +69,8 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op4_neighbours": op4_neighbours,
+    "op5_warc": op5_warc,
     "op8_simhash": op8_simhash,
     "op9_personal_data": op9_personal_data,
     "op10_pieces": op10_pieces,
