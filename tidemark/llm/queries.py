@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.katz import katz_scores
 from tidemark.llm.licenses import license_labels
 from tidemark.llm.mixing import DIMENSIONS, mix
 from tidemark.llm.pii import BASE_KINDS, personal_data, written
@@ -44,6 +45,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -71,6 +76,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_neighbours": op4_neighbours,
     "op5_warc": op5_warc,
+    "op7_katz": op7_katz,
     "op8_simhash": op8_simhash,
     "op9_personal_data": op9_personal_data,
     "op10_pieces": op10_pieces,
