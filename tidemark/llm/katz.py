@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, whole
+from tidemark.llm.packing import loosen, loosen_sorted, squeeze, squeeze_sorted
 
 BATCH = 1_000_000  # tokens
 KEYS = 1_000_000  # n-grams in a part of a table
@@ -37,26 +38,6 @@ TURING = 5  # counts up to this are discounted by Turing's estimate, others by a
 SEEN = 12  # numbers of n-grams of one count kept: for counts below this
 
 
-def squeeze(values: np.ndarray) -> bytes:
-    """An array as bytes: all first bytes, all second ones and so on, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def loosen(data: bytes, dtype: str) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).reshape(-1).view(dtype)
-
-
-def squeeze_sorted(keys: np.ndarray) -> bytes:
-    return squeeze(np.diff(keys, prepend=keys.dtype.type(0)))
-
-
-def loosen_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(loosen(data, "u8"), dtype=np.uint64)
-
-
 def _mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """One hash out of two."""
     x = context * np.uint64(0xD6E8FEB86659FD93) + word

@@ -12,6 +12,7 @@ from tidemark.llm.pii import BASE_KINDS, personal_data, written
 from tidemark.llm.pieces import encode_documents
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.suffixes import remove_repeats
 from tidemark.llm.vectors import index, nearest
 from tidemark.llm.warc import archive_pages
 
@@ -45,6 +46,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +83,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_neighbours": op4_neighbours,
     "op5_warc": op5_warc,
+    "op6_repeats": op6_repeats,
     "op7_katz": op7_katz,
     "op8_simhash": op8_simhash,
     "op9_personal_data": op9_personal_data,
