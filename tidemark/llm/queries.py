@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.katz import katz_scores
 from tidemark.llm.licenses import license_labels
 from tidemark.llm.mixing import DIMENSIONS, mix
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.llm.pii import BASE_KINDS, personal_data, written
 from tidemark.llm.pieces import encode_documents
 from tidemark.llm.quality import quality_rules
@@ -23,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(_table(spark, sf_dir, "documents"), columns=["doc_id"])
-    return out.select("row.doc_id", *[c for c in out.columns if c != "row"])
+    return out.select("row.doc_id", *[F.round(c, 6).alias(c) if c == "distance" else c for c in out.columns if c != "row"])
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(_table(spark, sf_dir, "pages"))
+    out = archive_pages(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +91,3 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_pieces": op10_pieces,
 }
-
-ORACLES: dict[str, str] = {}
