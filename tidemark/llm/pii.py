@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from tidemark.llm.common import packed, saved, whole
 
@@ -211,7 +212,7 @@ def redact(text: str, spans: list) -> str:
     return "".join([*out, text[done:]])
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([t if t is None or not len(s) else redact(t, [(x["kind"], x["start"], x["end"]) for x in s])
                       for t, s in zip(texts, spans)], dtype=object)
