@@ -64,7 +64,8 @@ def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None,
     """Documents (``row``: ``columns`` or all) with ``source, lang, topic, n_tokens, weight, probability, sampled``.
 
     ``targets`` gives shares by dimension and value; a dimension without targets gets its tokens to the power
-    ``temperature``. ``budget`` is the expected share of tokens drawn. Null sources and languages form cells of
+    ``temperature``. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
+    are too small for their weight are drawn whole and the others make up for them. Null sources and languages form cells of
     their own (shown as ``""``); a null text is empty, and a document without words has no tokens and is never
     drawn. Repeated rows share one draw, as the draw depends on the id (a null one counts as ``""``).
     """

@@ -41,7 +41,7 @@ def _mixing(rounds: int = 8, temperature: float = 0.7, budget: float = 0.9, seed
     SELECT doc_id, k.source, k.lang, k.topic, n_tokens::BIGINT AS n_tokens, round(coalesce(weight, 0), 9) AS weight,
       round(p, 9) AS probability,
       ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496 < p AS sampled
-    FROM (SELECT k.*, weight, coalesce(least(1.0, weight / tokens * f), 0) AS p FROM kinds k
+    FROM (SELECT k.*, weight, CASE WHEN weight IS NULL THEN 0 ELSE least(1.0, weight / tokens * f) END AS p FROM kinds k
       LEFT JOIN (SELECT * FROM {last}, factor_{rounds}) USING (source, lang, topic)) k"""
 
 
