@@ -231,7 +231,10 @@ def test_statements():
     sql = sinks.merge_statement("t", "s", ["k"], ["k", "v"])
     options = sinks.staging_options("jdbc:x", "product_funnel_1m")
     assert (options["dbtable"], options["batchsize"]) == ("product_funnel_1m_staging", "200")
-    assert sql.startswith("MERGE INTO t t USING s s ON t.k = s.k") and "UPDATE SET t.v = s.v" in sql
+    assert sql.startswith("MERGE INTO t t USING s s ON t.k = s.k") and "UPDATE SET v = s.v" in sql
+    ordered = sinks.merge_statement("t", "s", ["k"], ["k", "v"], ["at"])
+    assert "WHEN MATCHED AND (s.at > t.at OR" in ordered
+    assert "UPDATE" not in sinks.merge_statement("t", "s", ["k"], ["k"])
 
 
 def test_work_path_is_below_the_shared_folder(spark):

@@ -15,6 +15,7 @@ from tidemark.operators.keyed import first_per_key, last_per_key
 from tidemark.operators.sessions import session_metrics
 from tidemark.operators.skew import salted_join
 from tidemark.operators.users import merge_states, user_360, user_state
+from tidemark.plans import reports
 from tidemark.sources.logs import parse_changes
 
 START = datetime(2024, 1, 1)
@@ -137,12 +138,29 @@ def test_history_across_cells_and_ties(spark):
 def test_hierarchy(spark):
     rows = [("r", "Root", None), ("c", "Child", "r"), ("g", "Grandchild", "c"), ("lost", "Lost", "nowhere"),
             ("x", "X", "y"), ("y", "Y", "x")]
+    rows += [("under", "U", "lost"), ("self", "S", "self"), ("to x", "T", "x"), (None, "N", "r")]
+    rows += [(f"d{i}", "D", f"d{i - 1}" if i else "g") for i in range(20)]
     df = spark.createDataFrame(rows, "category_id string, name string, parent_category_id string")
-    two = {r.category_id: (r.root_category_id, r.resolved) for r in category_roots(df).collect()}
-    assert two == {"r": ("r", True), "c": ("r", True), "g": (None, False), "lost": (None, False),
-                   "x": (None, False), "y": (None, False)}
-    three = {r.category_id: (r.root_category_id, r.depth) for r in category_roots(df, 3).collect()}
-    assert three["g"] == ("r", 3) and three["x"][0] is None
+    found = {r.category_id: (r.root_category_id, r.depth, r.resolved) for r in category_roots(df).collect()}
+    assert found == {
+        "r": ("r", 1, True), "c": ("r", 2, True), "g": ("r", 3, True),
+        **{f"d{i}": ("r", 4 + i, True) for i in range(20)},
+        **{k: (None, None, False) for k in ("lost", "under", "x", "y", "self", "to x", None)},
+    }
+    assert category_roots(df.limit(0)).count() == 0
+
+
+def test_revenue_of_deep_and_lost_categories(spark):
+    categories = spark.createDataFrame(
+        [("a", "A", None), ("b", "B", "a"), ("c", "C", "b"), ("d", "D", "nowhere")],
+        "category_id string, name string, parent_category_id string")
+    products = spark.createDataFrame([("p1", "b"), ("p2", "c"), ("p3", "d")], "product_id string, category_id string")
+    orders = spark.createDataFrame([("o", date(2024, 1, 1), Decimal("60.00"))],
+                                   "order_id string, order_date date, total decimal(10,2)")
+    items = spark.createDataFrame([("o", f"p{i}", 1, Decimal(f"{i}0.00")) for i in (1, 2, 3)],
+                                  "order_id string, product_id string, quantity int, line_total decimal(10,2)")
+    out = reports.revenue_by_root_category(items, orders, products, categories, date(2024, 1, 2)).collect()
+    assert {r.category: float(r.total_revenue) for r in out} == {"A": 30.0, None: 30.0}
 
 
 def test_salted_join_equals_join(spark):

@@ -91,22 +91,27 @@ def validated_events(
 def dedupe_events(
     events: DataFrame, within: str = WATERMARK, spread_by: str | None = None, salts: int = 32
 ) -> DataFrame:
-    """One event per ``event_id``; events without an id are all kept in a batch.
+    """One event per ``event_id``; events without an id are all kept.
 
-    In a batch the earliest event of an id is kept, whatever the input order. A
-    stream keeps the first to arrive and remembers an id for ``within``. Its
+    In a batch the earliest event of an id is kept, whatever the input order; a
+    copy without a time counts as the latest. A stream keeps the first to
+    arrive and remembers an id for ``within``; events without a time cannot
+    pass a watermark and are left to ``untimed_events``. Its
     dedupe has no map-side step, so for an id with very many copies name in
     ``spread_by`` a number that differs between copies, such as the log offset:
     the copies are thinned out in ``salts`` places before they meet.
     """
     if events.isStreaming:
-        timed = with_event_time(events, within)
+        # An event without an id gets one that no other has, for the comparison only.
+        alone = F.when(F.col("event_id").isNull(), F.expr("uuid()"))
+        timed = with_event_time(events, within).withColumn("_alone", alone)
         if spread_by:
             salted = timed.withColumn("_salt", F.pmod(F.col(spread_by), F.lit(salts)))
-            timed = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
-        return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("event_time")
-    known = first_per_key(events.where(F.col("event_id").isNotNull()), ["event_id"], ["event_timestamp"])
-    return known.unionByName(events.where(F.col("event_id").isNull()))
+            timed = salted.dropDuplicatesWithinWatermark(["event_id", "_alone", "_salt"]).drop("_salt")
+        return timed.dropDuplicatesWithinWatermark(["event_id", "_alone"]).drop("event_time", "_alone")
+    known = events.where(F.col("event_id").isNotNull()).withColumn("_untimed", F.col("event_timestamp").isNull())
+    first = first_per_key(known, ["event_id"], ["_untimed", "event_timestamp"]).drop("_untimed")
+    return first.unionByName(events.where(F.col("event_id").isNull()))
 
 
 def with_event_time(events: DataFrame, delay: str = WATERMARK) -> DataFrame:

@@ -33,15 +33,33 @@ def _row_rules(contract: Contract) -> dict[tuple[str, str], Column]:
             elif rule["type"] in ("enumeration", "enum"):
                 # A missing value is the business of notNull.
                 rules["enumeration", name] = ~F.col(name).isin(*rule["values"])
+            elif rule["type"] != "uniqueness":
+                raise ValueError(f"contract {contract.id}: unknown rule type {rule['type']!r} of {name}")
     for rule in contract.rules:
         if rule["type"] == "notNull":
             for name in rule["columns"]:
                 rules["notNull", name] = F.col(name).isNull()
-        elif rule["type"] == "custom" and "expression" in rule:
-            rules["custom", rule.get("name", rule["expression"])] = ~F.expr(rule["expression"])
+        elif rule["type"] == "custom":
+            # Some contracts write the condition as the description.
+            condition = rule.get("expression") or rule.get("description")
+            if not condition:
+                raise ValueError(f"contract {contract.id}: a custom rule without a condition")
+            rules["custom", rule.get("name", condition)] = ~F.expr(condition)
+        elif rule["type"] not in ("rowCount", "freshness"):
+            raise ValueError(f"contract {contract.id}: unknown rule type {rule['type']!r}")
     return rules
 
 
+def _time_column(contract: Contract) -> str:
+    """The column freshness is about where the rule names none."""
+    named = contract.tagged("governance:timestamp") or [
+        c["name"] for c in contract.columns if c["type"].upper().startswith("TIMESTAMP")
+    ]
+    if not named:
+        raise ValueError(f"contract {contract.id}: freshness needs a column")
+    return named[0]
+
+
 def _unique_columns(contract: Contract) -> list[str]:
     return [
         c["name"] for c in contract.columns
@@ -60,7 +78,8 @@ def check(df: DataFrame, contract: Contract, as_of: datetime | None = None) -> D
 
     All row rules, the row count and the freshness come from a single pass.
     Uniqueness counts rows beyond the first of each value. Freshness is checked
-    against ``as_of`` and skipped without it. A rule that evaluates to NULL for
+    against ``as_of``; without it ``violations`` and ``passed`` are NULL. Rules
+    of unknown type raise. A rule that evaluates to NULL for
     a row is not violated by it.
     """
     results = []
@@ -70,10 +89,13 @@ def check(df: DataFrame, contract: Contract, as_of: datetime | None = None) -> D
         if rule["type"] == "rowCount":
             short = F.count("*") <= rule["mustBeGreaterThan"]
             results.append(_result("rowCount", "*", F.when(short, 1).otherwise(0)))
-        elif rule["type"] == "freshness" and as_of is not None and "column" in rule:
-            oldest = moment(as_of - _interval(rule["interval"]))
-            fresh = F.max(rule["column"]) >= oldest
-            results.append(_result("freshness", rule["column"], F.when(fresh, 0).otherwise(1)))
+        elif rule["type"] == "freshness":
+            column = rule.get("column") or _time_column(contract)
+            stale = F.lit(None)
+            if as_of is not None:
+                oldest = moment(as_of - _interval(rule["interval"]))
+                stale = F.when(F.max(column) >= oldest, 0).otherwise(1)
+            results.append(_result("freshness", column, stale))
     parts = []
     if results:
         parts.append(df.agg(F.array(*results).alias("_results")).select(F.inline("_results")))

@@ -95,10 +95,25 @@ def _dimensions(cube: Cube, names: Sequence[str], grain: str | None) -> list[Col
         if name not in cube.dimensions:
             raise KeyError(f"no dimension {name!r}")
         timed = grain and cube.dimensions[name] == "time"
-        columns.append((truncate(F.col(name), grain) if timed else F.col(name)).alias(name))
+        column = truncate(F.col(name), grain) if timed else F.col(name)
+        # The grain travels with the column, so that a rollup knows its own.
+        columns.append(column.alias(name, metadata={"grain": grain}) if timed else column.alias(name))
     return columns
 
 
+#: Coarser grains that hold each grain whole; weeks lie across months.
+NESTS = {
+    "second": ("minute", "hour", "day", "week", "month", "quarter", "year"),
+    "minute": ("hour", "day", "week", "month", "quarter", "year"),
+    "hour": ("day", "week", "month", "quarter", "year"),
+    "day": ("week", "month", "quarter", "year"),
+    "week": (),
+    "month": ("quarter", "year"),
+    "quarter": ("year",),
+    "year": (),
+}
+
+
 def _base_measures(cube: Cube, names: Sequence[str]) -> dict[str, Measure]:
     """The aggregates a request needs: its own and those its ratios are made of."""
     needed: dict[str, Measure] = {}
@@ -161,11 +176,18 @@ def query_rollup(
     where: Column | str | None = None,
     grain: str | None = None,
 ) -> DataFrame:
-    """Answer a request from a rollup that holds its dimensions at the same or a finer grain."""
+    """Answer a request from a rollup that holds its dimensions at the same or a finer grain.
+
+    A request for a grain the rollup's own does not nest in raises.
+    """
     model = CUBES[cube]
     missing = [d for d in dimensions if d not in rollup.columns]
     if missing:
         raise KeyError(f"the rollup has no {', '.join(missing)}")
+    for name in dimensions:
+        own = rollup.schema[name].metadata.get("grain")
+        if own and grain != own and grain not in NESTS.get(own, ()):
+            raise ValueError(f"the rollup holds {name} by {own}, which {grain or 'the finest grain'} cannot be made of")
     aggregates = []
     for name, measure in _base_measures(model, measures).items():
         if measure.kind == "count_distinct":

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numeric import rounded_ratio
 from ..functions.time import moment, truncate
 from ..operators.hierarchy import category_roots
-from ..operators.skew import salted_join
 
 
 def _on_or_after(column: str, start: datetime | date):
@@ -70,21 +69,22 @@ def _recent_order_categories(
 ) -> DataFrame:
     """Recent order lines per (category, order).
 
-    Lines are summed per (order, product) before any join, so neither an order
-    nor a product with very many lines reaches the joins as such. A product
-    that is in very many orders is still one key there, hence the salt.
+    Lines meet the recent orders first, which leaves few of them, and are then
+    summed per (order, product) where they are. The product lookup is a plain
+    join: it is broadcast if it is small at run time, else a product in very
+    many orders is split by the adaptive join.
     """
     recent = orders.where(_on_or_after("order_date", since)).select("order_id", "total")
-    lines = items.groupBy("order_id", "product_id").agg(
+    sold = items.join(recent, "order_id").groupBy("order_id", "product_id").agg(
         F.count("*").alias("_lines"),
         F.sum("quantity").alias("_quantity"),
         F.sum("line_total").alias("_line_total"),
+        F.max("total").alias("total"),
     )
     category_of = products.select("product_id", "category_id").join(labels, "category_id").select(
         "product_id", "category"
     )
-    sold = lines.join(recent, "order_id")
-    labelled = salted_join(sold, category_of, "product_id", spread_by=["order_id"])
+    labelled = sold.join(category_of, "product_id")
     return labelled.groupBy("category", "order_id").agg(
         F.sum("_lines").alias("_lines"),
         F.sum("_quantity").alias("_quantity"),
@@ -121,12 +121,15 @@ def revenue_by_category(
 
 def revenue_by_root_category(
     items: DataFrame, orders: DataFrame, products: DataFrame, categories: DataFrame,
-    as_of: date, lookback: timedelta = timedelta(days=30), max_depth: int = 2,
+    as_of: date, lookback: timedelta = timedelta(days=30),
 ) -> DataFrame:
-    """The same report rolled up to the top of the category tree."""
-    roots = category_roots(categories, max_depth).select("category_id", "root_category_id")
+    """The same report rolled up to the top of the category tree.
+
+    Categories without a root (a parent is missing, or a cycle) share the category NULL.
+    """
+    roots = category_roots(categories).select("category_id", "root_category_id")
     names = categories.select(F.col("category_id").alias("root_category_id"), F.col("name").alias("category"))
-    labels = roots.join(names, "root_category_id").select("category_id", "category")
+    labels = roots.join(names, "root_category_id", "left").select("category_id", "category")
     return _category_totals(_recent_order_categories(items, orders, products, labels, as_of - lookback))
 
 

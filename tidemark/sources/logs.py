@@ -55,8 +55,8 @@ def contract_options(contract: Contract, brokers: str, from_beginning: bool = Fa
 def read_broker(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
     """A topic as text with its position. Needs the connector on the class path."""
     reader = spark.readStream if streaming else spark.read
-    if not streaming:
-        options = {**options, "startingOffsets": "earliest"}
+    if not streaming and options.get("startingOffsets", "latest") == "latest":
+        options = {**options, "startingOffsets": "earliest"}  # a batch cannot begin at the live end
     log = reader.format("kafka").options(**options).load()
     return log.select(
         F.col("value").cast("string").alias("value"),
@@ -79,6 +79,15 @@ def rejected_text(raw: DataFrame) -> DataFrame:
     return undecodable(raw, EVENT_FIELDS)
 
 
+def rejected_changes(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Changes no route takes: the text of unreadable ones and of those without a known entity type."""
+    unreadable = undecodable(raw, CHANGE_FIELDS, keep=keep)
+    read = decode(raw.withColumn("_value", F.col("value")), ("entity_type",), keep=(*keep, "_value"))
+    known = F.coalesce(F.col("entity_type").isin(*ROUTES), F.lit(False))
+    other = read.where(~known).select(*keep, F.col("_value").alias("value"), F.lit("unknown entity").alias("reason"))
+    return unreadable.unionByName(other)
+
+
 def parse_changes(
     raw: DataFrame, keep: Sequence[str] = (), entities: Sequence[str] | None = None
 ) -> DataFrame:

@@ -10,7 +10,6 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.skew import salted_join
 
 # Stand-ins for now: the ends of the event and the order data.
 EVENTS_AS_OF = datetime(2024, 1, 31)
@@ -167,4 +166,4 @@ def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(o_orderdate AS TIMESTAMP_NTZ) AS change_ts", "o_orderkey AS change_seq",
     )
     profile = people.select("user_id", "name", "email", "city")
-    return registered.unionByName(salted_join(placed, profile, "user_id", spread_by=["change_seq"]))
+    return registered.unionByName(placed.join(profile, "user_id"))

@@ -17,16 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contracts
 from ..operators import changes as entity
-from ..operators.events import WATERMARK, bronze_events, enrich_events, rejected_events, valid_events
+from ..operators.events import (
+    WATERMARK, bronze_events, enrich_events, rejected_events, untimed_events, valid_events,
+)
 from ..operators.funnel import WINDOW, product_funnel, serving_funnel
 from ..operators.sessions import GAP, serving_sessions, session_metrics, user_sessions
 from ..operators.users import merge_states, user_360, user_state
-from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events
+from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events, rejected_changes, rejected_text
 from . import sinks
 
 Trigger = Mapping[str, Any]
 LIVE: Trigger = {"processingTime": "30 seconds"}
 DRAIN: Trigger = {"availableNow": True}
+POSITION = ("log_partition", "log_offset")
 SESSION_ORDER = ("session_end", "session_start", "user_id")
 
 
@@ -52,22 +55,28 @@ def window_events(raw: DataFrame, formats: Sequence[str] = ("millis",)) -> DataF
 
 
 def start_bronze(raw: DataFrame, out: str, checkpoint: str, trigger: Trigger = LIVE) -> StreamingQuery:
-    """Every readable record, partitioned by date."""
+    """Every readable record, partitioned by date; the text of the others to a reject table."""
     parts = contracts.load("bronze.raw_events").partition_by
-    return _start(
-        bronze_events(parse_events(raw)), checkpoint, trigger,
-        lambda batch, label: sinks.append_batch(batch, f"{out}/bronze/raw_events", label, parts),
-    )
+
+    def write(batch: DataFrame, label: str) -> None:
+        sinks.append_batch(bronze_events(parse_events(batch)), f"{out}/bronze/raw_events", label, parts)
+        sinks.append_batch(rejected_text(batch), f"{out}/bronze/rejected_text", label)
+
+    return _start(raw, checkpoint, trigger, write)
 
 
 def start_validated(raw: DataFrame, out: str, checkpoint: str, trigger: Trigger = LIVE) -> StreamingQuery:
-    """Valid events to the silver table, the others with their reasons to a reject table."""
+    """Valid events to the silver table, the others with their reasons to a reject table.
+
+    Valid events without a time, which no window can hold, are reported as well.
+    """
     parts = contracts.load("silver.validated_events").partition_by
 
     def write(batch: DataFrame, label: str) -> None:
         good = enrich_events(valid_events(batch))
         sinks.append_batch(good, f"{out}/silver/validated_events", label, parts)
         sinks.append_batch(rejected_events(batch), f"{out}/silver/rejected_events", label)
+        sinks.append_batch(untimed_events(good), f"{out}/silver/untimed_events", label)
 
     return _start(bronze_events(parse_events(raw)), checkpoint, trigger, write)
 
@@ -134,26 +143,33 @@ def start_changes(
     checkpoint: str,
     trigger: Trigger = LIVE,
     entities: Sequence[str] = tuple(entity.ROUTES),
-    position: Sequence[str] = (),
+    position: Sequence[str] | None = None,
+    rejects: bool = True,
 ) -> StreamingQuery:
     """Each entity to its lake log, with every version, and to its serving table.
 
-    ``position`` names log columns (partition offset) that order changes of
-    the same time.
+    ``position`` names log columns (partition, offset) that order changes of
+    the same time; by default those the log has. Changes that cannot be read
+    or belong to no entity go to a reject table, unless another job writes it.
     """
+    if position is None:
+        position = [c for c in POSITION if c in raw.columns]
     order = (entity.CHANGED, *position)
 
     def write(batch: DataFrame, label: str) -> None:
+        if rejects:
+            sinks.append_batch(rejected_changes(batch, position), f"{out}/lake/rejected_changes", label)
+        changes = parse_changes(batch, position, entities)
         for kind in entities:
             table, key, parts = entity.TABLES[kind]
-            versions = entity.route(batch, kind, keep=order)
+            versions = entity.route(changes, kind, keep=order)
             sinks.append_batch(versions, f"{out}/lake/{table}", label, parts)
             sinks.upsert_batch(
                 entity.serving_columns(versions, kind), f"{out}/serving/{table}", [key], order, label,
                 sinks.SERVING_DEFAULTS.get(table),
             )
 
-    return _start(parse_changes(raw, position, entities), checkpoint, trigger, write)
+    return _start(raw, checkpoint, trigger, write)
 
 
 def start_all(
@@ -174,6 +190,6 @@ def start_all(
         "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger),
         "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger),
         "dimensions": lambda c: start_changes(change_log(), out, c, trigger, ("category", "user", "product")),
-        "facts": lambda c: start_changes(change_log(), out, c, trigger, ("order", "order_item")),
+        "facts": lambda c: start_changes(change_log(), out, c, trigger, ("order", "order_item"), rejects=False),
     }
     return {name: start(f"{checkpoints}/{name}") for name, start in starts.items()}

@@ -108,14 +108,24 @@ def compact_serving(
     base.write.mode("errorifexists").partitionBy(BATCH).parquet(target)
 
 
-def merge_statement(target: str, source: str, keys: Sequence[str], columns: Sequence[str]) -> str:
-    """MERGE for catalog tables whose format supports it."""
+def merge_statement(
+    target: str, source: str, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str] = ()
+) -> str:
+    """MERGE for tables that support it: as in ``read_serving``, the greater ``order_by`` stays.
+
+    NULL sorts lowest. A table of keys only has nothing to update.
+    """
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in keys)
+    sets = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys)
     names, values = ", ".join(columns), ", ".join(f"s.{c}" for c in columns)
+    newer = "1 = 1"  # of equal ones the later batch counts
+    for c in reversed(order_by):
+        newer = (f"(s.{c} > t.{c} OR (t.{c} IS NULL AND s.{c} IS NOT NULL) OR "
+                 f"((s.{c} = t.{c} OR (s.{c} IS NULL AND t.{c} IS NULL)) AND {newer}))")
+    condition = f" AND {newer}" if order_by else ""
+    update = f"WHEN MATCHED{condition} THEN UPDATE SET {sets} " if sets else ""
     return (
-        f"MERGE INTO {target} t USING {source} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {sets} "
+        f"MERGE INTO {target} t USING {source} s ON {on} {update}"
         f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
 
