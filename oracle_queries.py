@@ -74,6 +74,10 @@ USERS_360 = sessions() + """, u360 AS (
          bool_or(converted) AS is_converted
   FROM sm GROUP BY user_id)"""
 
+_ONCE = """SELECT event_id, event_type, user_id, session_id, product_id, event_timestamp FROM ev
+      UNION ALL SELECT NULL, event_type, user_id, session_id, product_id, event_timestamp FROM ev
+      WHERE event_type = 'add_to_cart'"""
+
 SHOP = """us AS (
   SELECT 'U' || c_custkey AS user_id, c_name AS name, 'u' || c_custkey || '@example.com' AS email, n_name AS city,
          DATE '1999-08-02' + CAST(c_custkey * 37 % 730 AS INTEGER) AS registered_date,
@@ -245,6 +249,33 @@ ORACLES: dict[str, str] = {
       SELECT user_id, city, status, change_seq, change_ts AS valid_from,
         lead(change_ts) OVER w AS valid_to, lead(change_ts) OVER w IS NULL AS is_current
       FROM one WINDOW w AS (PARTITION BY user_id ORDER BY change_ts)""",
+    "category_tree_deep": """WITH n AS (
+      SELECT n_nationkey AS k, n_name AS name, 'R-' || n_regionkey AS region, n_nationkey > 2 AS ok FROM nation)
+      SELECT 'R-' || r_regionkey AS category_id, r_name AS name, CAST(NULL AS VARCHAR) AS parent_category_id,
+        'R-' || r_regionkey AS root_category_id, 1 AS depth, true AS resolved FROM region
+      UNION ALL SELECT 'N-' || k, name, CASE k WHEN 0 THEN 'R-none' WHEN 1 THEN 'N-2' WHEN 2 THEN 'N-1' ELSE region END,
+        CASE WHEN ok THEN region END, CASE WHEN ok THEN 2 END, ok FROM n
+      UNION ALL SELECT DISTINCT 'S-' || k || '-' || c_mktsegment, c_mktsegment, 'N-' || k,
+        CASE WHEN ok THEN region END, CASE WHEN ok THEN 3 END, ok FROM customer JOIN n ON k = c_nationkey
+      UNION ALL SELECT 'C-' || c_custkey, c_name, 'S-' || k || '-' || c_mktsegment,
+        CASE WHEN ok THEN region END, CASE WHEN ok THEN 4 END, ok FROM customer JOIN n ON k = c_nationkey""",
+    "changes_rejected": f"""WITH {SHOP} SELECT 'unparseable' AS reason, count(*) AS changes FROM us
+      UNION ALL SELECT 'unknown entity', count(*) FROM ca""",
+    "deduplicated_untimed": f"WITH {EVENTS} {_ONCE}",
+    "stream_deduplicated": f"WITH {EVENTS} {_ONCE}",
+    "stream_unreadable": f"""WITH {EVENTS} SELECT
+      substring('{{"event_id":"' || event_id || '","event_type":"error","user_id"', 1, 30) AS value,
+      'unparseable' AS reason FROM ev WHERE event_type = 'error'""",
+    "stream_serving_categories": f"WITH {SHOP} SELECT * FROM ca",
+    "stream_serving_users": f"WITH {SHOP} SELECT * EXCLUDE (updated_at) FROM us",
+    "stream_serving_products": f"WITH {SHOP} SELECT * EXCLUDE (created_at) FROM pr",
+    "quality_declared": f"""WITH {sessions()} SELECT 'declared' AS "table", 'rowCount' AS rule, '*' AS subject,
+        CAST(count(*) = 0 AS BIGINT) AS violations, count(*) > 0 AS passed FROM sm
+      UNION ALL SELECT 'declared', 'freshness', 'session_start', NULL, NULL
+      UNION ALL SELECT 'declared', 'custom', 'session_end >= session_start', count(*) FILTER (session_end < session_start),
+        count(*) FILTER (session_end < session_start) = 0 FROM sm
+      UNION ALL SELECT 'declared', 'custom', 'event_count > 1', count(*) FILTER (event_count <= 1),
+        count(*) FILTER (event_count <= 1) = 0 FROM sm""",
     "category_tree": f"""WITH {SHOP} SELECT category_id, name, parent_category_id,
       coalesce(parent_category_id, category_id) AS root_category_id,
       CASE WHEN parent_category_id IS NULL THEN 1 ELSE 2 END AS depth, true AS resolved FROM ca""",

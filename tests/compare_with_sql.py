@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as suite  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -51,7 +51,7 @@ def main() -> int:
     })
     spark.sparkContext.setLogLevel("ERROR")
     db, failed = connect(sf_dir), 0
-    for name in sys.argv[2:] or suite.queries():
+    for name in sys.argv[2:] or suite.oracle_sql():
         started = time.time()
         try:
             problem = difference(spark, db, name, sf_dir)

@@ -22,7 +22,7 @@ from ..operators.sessions import serving_sessions, session_metrics, user_session
 from ..operators.users import merge_states, user_360, user_state
 from ..session import streaming_session, work_path
 from ..sources import warehouse as wh
-from ..sources.logs import parse_changes, parse_events, rejected_text
+from ..sources.logs import parse_changes, parse_events, read_text, rejected_changes, rejected_text
 from ..sources.tables import read_lake
 from ..streaming import jobs, sinks
 from . import metrics, replay, reports
@@ -119,6 +119,23 @@ def deduplicated_events(spark, sf_dir):
     return dedupe_events(events.unionByName(again))
 
 
+def _odd_copies(events: DataFrame, untimed: bool) -> DataFrame:
+    """Every event, each cart event once more without an id, each purchase once more as it is or without its time."""
+    return events.selectExpr(
+        "*", "explode(CASE WHEN event_type IN ('add_to_cart', 'purchase') THEN array(0, 1) ELSE array(0) END) AS copy"
+    ).selectExpr(
+        "CASE WHEN copy = 1 AND event_type = 'add_to_cart' THEN NULL ELSE event_id END AS event_id",
+        "event_type", "user_id", "session_id", "product_id",
+        f"CASE WHEN {untimed} AND copy = 1 AND event_type = 'purchase' THEN NULL ELSE event_timestamp END AS event_timestamp",
+    )
+
+
+@query
+def deduplicated_untimed(spark, sf_dir):
+    """A copy without a time never replaces the event, and events without an id all stay."""
+    return dedupe_events(_odd_copies(wh.click_events(spark, sf_dir), untimed=True))
+
+
 # --- sessions, funnel, users --------------------------------------------------
 
 
@@ -241,6 +258,21 @@ def category_tree(spark, sf_dir):
     return category_roots(wh.categories(spark, sf_dir))
 
 
+@query
+def category_tree_deep(spark, sf_dir):
+    return category_roots(wh.sales_areas(spark, sf_dir))
+
+
+@query
+def changes_rejected(spark, sf_dir):
+    """Users arrive cut off, and categories under an unknown name."""
+    log = wh.change_log(spark, sf_dir)
+    text = F.col("value")
+    spoilt = F.when(text.contains('"entity_type":"user"'), F.substring(text, 1, 40)).when(
+        text.contains('"entity_type":"category"'), F.replace(text, F.lit('"category"'), F.lit('"vendor"'))).otherwise(text)
+    return rejected_changes(log.select(spoilt.alias("value"))).groupBy("reason").agg(F.count("*").alias("changes"))
+
+
 # --- reports ------------------------------------------------------------------
 
 
@@ -403,6 +435,20 @@ def order_reconciliation(spark, sf_dir):
     return quality.reconcile_orders(wh.orders(spark, sf_dir), wh.order_items(spark, sf_dir))
 
 
+@query
+def quality_declared(spark, sf_dir):
+    """Rules as other contracts write them: conditions as descriptions, freshness without a column or a time."""
+    declared = contracts.Contract.from_dict({
+        "id": "declared", "schema": contracts.load("gold.session_metrics").columns,
+        "quality": [
+            {"type": "rowCount", "mustBeGreaterThan": 0}, {"type": "freshness", "interval": "5m"},
+            {"type": "custom", "description": "session_end >= session_start"},
+            {"type": "custom", "description": "event_count > 1"},
+        ],
+    })
+    return quality.check(_sessions(spark, sf_dir), declared).where("rule <> 'required'")
+
+
 @query
 def masked_sessions(spark, sf_dir):
     return contracts.mask(_sessions(spark, sf_dir), contracts.load("gold.session_metrics")).select(
@@ -485,6 +531,45 @@ def stream_bronze(spark, sf_dir):
     return read_lake(spark, f"{root}/bronze/raw_events", contracts.load("bronze.raw_events"))
 
 
+@query
+def stream_deduplicated(spark, sf_dir):
+    """The streamed equal of ``deduplicated_untimed``, whose copies all have a time."""
+    root = _drain(jobs.start_deduplicated, spark, _odd_copies(_stream_events(spark, sf_dir), untimed=False))
+    return spark.read.parquet(f"{root}/silver/unique_events").drop(sinks.BATCH)
+
+
+@query
+def stream_unreadable(spark, sf_dir):
+    """Error events arrive cut off; the bronze job keeps their text."""
+    cut = F.when(F.col("value").contains('"event_type":"error"'), F.substring("value", 1, 30))
+    log = _stream_log(spark, sf_dir).select(F.coalesce(cut, F.col("value")).alias("value"))
+    root = _drain(jobs.start_bronze, spark, log)
+    return spark.read.parquet(f"{root}/bronze/rejected_text").drop(sinks.BATCH)
+
+
+def _serving_query(kind: str) -> None:
+    table, key, _ = entity.TABLES[kind]
+
+    def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Half of the changes, the other half, and a third of all once more, as a stream of several batches."""
+        log = wh.change_log(spark, sf_dir).where(F.col("value").contains(f'"entity_type":"{kind}"'))
+        part = F.xxhash64("value")
+        path = work_path(spark, "changes")
+        for i, some in enumerate((part % 2 == 0, part % 2 != 0, part % 3 == 0)):
+            log.where(some).write.text(f"{path}/{i}")
+        session = streaming_session(spark)
+        source = read_text(session, f"{path}/*", streaming=True, maxFilesPerTrigger="4")
+        root = _drain(jobs.start_changes, spark, source, entities=[kind])
+        return sinks.read_serving(spark, f"{root}/serving/{table}", [key], [entity.CHANGED]).drop(entity.CHANGED)
+
+    served.__name__ = f"stream_serving_{table}"
+    query(served)
+
+
+for _kind in ("category", "user", "product"):
+    _serving_query(_kind)
+
+
 @query
 def stream_rejected(spark, sf_dir):
     root = _drain(jobs.start_validated, spark, _stream_log(spark, sf_dir))

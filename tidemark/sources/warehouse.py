@@ -85,6 +85,26 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roots.unionByName(leaves)
 
 
+def sales_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of four levels: region, nation, segment of a nation, customer.
+
+    The parent of nation 0 is missing, and nations 1 and 2 are each other's parent.
+    """
+    nation = _table(spark, sf_dir, "nation").selectExpr(
+        "'N-' || n_nationkey AS category_id", "n_name AS name",
+        "CASE n_nationkey WHEN 0 THEN 'R-none' WHEN 1 THEN 'N-2' WHEN 2 THEN 'N-1' ELSE 'R-' || n_regionkey END"
+        " AS parent_category_id")
+    region = _table(spark, sf_dir, "region").selectExpr(
+        "'R-' || r_regionkey AS category_id", "r_name AS name", "CAST(NULL AS STRING) AS parent_category_id")
+    customer = _table(spark, sf_dir, "customer")
+    segment = "'S-' || c_nationkey || '-' || c_mktsegment"
+    segments = customer.selectExpr(
+        f"{segment} AS category_id", "c_mktsegment AS name", "'N-' || c_nationkey AS parent_category_id").distinct()
+    people = customer.selectExpr(
+        "'C-' || c_custkey AS category_id", "c_name AS name", f"{segment} AS parent_category_id")
+    return region.unionByName(nation).unionByName(segments).unionByName(people)
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contracts
 from ..operators import changes as entity
 from ..operators.events import (
-    WATERMARK, bronze_events, enrich_events, rejected_events, untimed_events, valid_events,
+    WATERMARK, bronze_events, dedupe_events, enrich_events, rejected_events, untimed_events, valid_events,
 )
 from ..operators.funnel import WINDOW, product_funnel, serving_funnel
 from ..operators.sessions import GAP, serving_sessions, session_metrics, user_sessions
@@ -81,6 +81,17 @@ def start_validated(raw: DataFrame, out: str, checkpoint: str, trigger: Trigger
     return _start(bronze_events(parse_events(raw)), checkpoint, trigger, write)
 
 
+def start_deduplicated(
+    events: DataFrame, out: str, checkpoint: str, trigger: Trigger = LIVE, within: str = WATERMARK,
+    spread_by: str | None = None,
+) -> StreamingQuery:
+    """One event per id, see ``dedupe_events``; events without an id are all kept."""
+    return _start(
+        dedupe_events(events, within, spread_by), checkpoint, trigger,
+        lambda batch, label: sinks.append_batch(batch, f"{out}/silver/unique_events", label),
+    )
+
+
 def start_sessions(
     events: DataFrame,
     out: str,
