@@ -3,7 +3,7 @@
 import json
 import random
 import time
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from tidemark.operators.events import WATERMARK, dedupe_events
 from tidemark.operators.funnel import product_funnel
 from tidemark.operators.sessions import session_metrics, user_sessions
 from tidemark.operators.users import user_360, user_state
-from tidemark.plans import replay
+from tidemark.plans import metrics, replay
 from tidemark.session import streaming_session, work_path
 from tidemark.sources.logs import read_text
 from tidemark.sources.tables import read_lake
@@ -242,3 +242,59 @@ def test_work_path_is_below_the_shared_folder(spark):
     one, two = work_path(spark, "x"), work_path(spark, "x")
     assert one != two
     assert not root or one.startswith(root)
+
+
+def test_later_runs_win(spark, tmp_path):
+    labels = [sinks.batch_label(c, n, since) for c, n, since in (("z", 5, 1), ("a", 0, 2), ("m", 0, 3), ("m", 1, 3))]
+    assert labels == sorted(labels) and sinks.BASE < labels[0]
+    path = str(tmp_path / "t")
+    for i, label in enumerate(labels):
+        sinks.upsert_batch(spark.createDataFrame([("k", 1, i)], "k string, t int, v int"), path, ["k"], ["t"], label)
+    assert [r.v for r in sinks.read_serving(spark, path, ["k"], ["t"]).collect()] == [3]
+
+
+def test_empty_serving_table_has_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([], "k string, t int")
+    sinks.upsert_batch(df, str(tmp_path / "t"), ["k"], ["t"], sinks.batch_label("c", 0))
+    assert sinks.read_serving(spark, str(tmp_path / "t"), ["k"], ["t"], df.schema).collect() == []
+
+
+def test_stateful_jobs_need_the_stream_settings(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "false")
+    events = session.readStream.schema("user_id string").parquet(str(tmp_path))
+    with pytest.raises(RuntimeError, match="build_session"):
+        jobs.start_sessions(events, str(tmp_path / "out"), str(tmp_path / "c"))
+
+
+def test_rollups_refuse_what_does_not_nest(spark):
+    sessions = spark.createDataFrame(
+        [("S", "U", date(2024, 1, 31), 1, 1, 1, 1, 1, False)],
+        "session_id string, user_id string, session_date date, event_count bigint, page_views bigint, "
+        "add_to_carts bigint, purchases bigint, session_duration_seconds bigint, converted boolean")
+    weekly = metrics.pre_aggregate(sessions, "session_metrics", ["session_date"], "week")
+    with pytest.raises(ValueError, match="week"):
+        metrics.query_rollup(weekly, "session_metrics", ["count"], ["session_date"], grain="month")
+    daily = metrics.pre_aggregate(sessions, "session_metrics", ["session_date"], "day")
+    assert metrics.query_rollup(daily, "session_metrics", ["count"], ["session_date"], grain="month").count() == 1
+
+
+def test_jobs_keep_what_they_cannot_read(spark, tmp_path):
+    lines = ['{"event_id":"1","event_type":"page_view","user_id":"U","session_id":"S","timestamp":"2024-01-01 00:00:00.000"}',
+             '{"event_id":"2","event_type":"page_view","user_id":"U","session_id":"S"}', "not json", '{"entity_type":"vendor"}',
+             '{"entity_type":"category","timestamp":"2024-01-01 00:00:00.000","category_id":"c","cat_name":"C"}']
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.txt").write_text("\n".join(lines))
+
+    def log():
+        return spark.readStream.format("text").load(str(tmp_path / "log"))
+
+    out = str(tmp_path / "out")
+    jobs.start_bronze(log(), out, str(tmp_path / "c1"), jobs.DRAIN).awaitTermination()
+    jobs.start_validated(log(), out, str(tmp_path / "c2"), jobs.DRAIN).awaitTermination()
+    jobs.start_changes(log(), out, str(tmp_path / "c3"), jobs.DRAIN, ("category",)).awaitTermination()
+    assert [r.value for r in spark.read.parquet(f"{out}/bronze/rejected_text").collect()] == ["not json"]
+    assert [r.event_id for r in spark.read.parquet(f"{out}/silver/untimed_events").collect()] == ["2"]
+    rejected = {(r.value, r.reason) for r in spark.read.parquet(f"{out}/lake/rejected_changes").collect()}
+    assert {("not json", "unparseable"), (lines[3], "unknown entity")} <= rejected and len(rejected) == 4
+    assert [r.category_id for r in spark.read.parquet(f"{out}/serving/categories").collect()] == ["c"]

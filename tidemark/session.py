@@ -30,7 +30,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**BATCH_CONF, **conf}.items():
+    for key, value in {**BATCH_CONF, **STREAM_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -44,6 +44,13 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def check_streaming(spark: SparkSession) -> None:
+    """Raise unless the session has the settings that bound a stream's state and hot keys."""
+    wrong = [k for k, v in STREAM_CONF.items() if spark.conf.get(k, None) != v]
+    if wrong:
+        raise RuntimeError(f"open the stream from build_session or streaming_session; not set: {', '.join(wrong)}")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster shares through ``spark.checkpoint.dir``.
 

@@ -23,11 +23,15 @@ from ..operators.events import (
 from ..operators.funnel import WINDOW, product_funnel, serving_funnel
 from ..operators.sessions import GAP, serving_sessions, session_metrics, user_sessions
 from ..operators.users import merge_states, user_360, user_state
+from ..session import check_streaming
 from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events, rejected_changes, rejected_text
 from . import sinks
 
 Trigger = Mapping[str, Any]
 LIVE: Trigger = {"processingTime": "30 seconds"}
+# How often the jobs with serving tables write.
+SESSIONS_LIVE: Trigger = {"processingTime": "2 seconds"}
+FUNNEL_LIVE: Trigger = {"processingTime": "5 seconds"}
 DRAIN: Trigger = {"availableNow": True}
 POSITION = ("log_partition", "log_offset")
 SESSION_ORDER = ("session_end", "session_start", "user_id")
@@ -40,7 +44,8 @@ def _start(
         # Spilled to disk where memory is short; lost blocks are computed again.
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(held, sinks.batch_label(checkpoint, batch_id))
+            since = sinks.started(batch.sparkSession, checkpoint)
+            write(held, sinks.batch_label(checkpoint, batch_id, since))
         finally:
             held.unpersist()
 
@@ -86,6 +91,7 @@ def start_deduplicated(
     spread_by: str | None = None,
 ) -> StreamingQuery:
     """One event per id, see ``dedupe_events``; events without an id are all kept."""
+    check_streaming(events.sparkSession)
     return _start(
         dedupe_events(events, within, spread_by), checkpoint, trigger,
         lambda batch, label: sinks.append_batch(batch, f"{out}/silver/unique_events", label),
@@ -96,7 +102,7 @@ def start_sessions(
     events: DataFrame,
     out: str,
     checkpoint: str,
-    trigger: Trigger = LIVE,
+    trigger: Trigger = SESSIONS_LIVE,
     gap: timedelta = GAP,
     delay: str = WATERMARK,
 ) -> StreamingQuery:
@@ -104,6 +110,7 @@ def start_sessions(
 
     The batch's share of the user totals is kept as well, see ``read_user_360``.
     """
+    check_streaming(events.sparkSession)
     silver = contracts.load("silver.user_sessions").partition_by
     gold = contracts.load("gold.session_metrics").partition_by
 
@@ -132,11 +139,12 @@ def start_funnel(
     events: DataFrame,
     out: str,
     checkpoint: str,
-    trigger: Trigger = LIVE,
+    trigger: Trigger = FUNNEL_LIVE,
     size: timedelta = WINDOW,
     delay: str = WATERMARK,
 ) -> StreamingQuery:
     """Closed windows to the gold and the serving table."""
+    check_streaming(events.sparkSession)
 
     def write(batch: DataFrame, label: str) -> None:
         sinks.append_batch(batch, f"{out}/gold/product_funnel_1m", label)
@@ -188,19 +196,21 @@ def start_all(
     change_log: Callable[[], DataFrame],
     out: str,
     checkpoints: str,
-    trigger: Trigger = LIVE,
+    trigger: Trigger | None = None,
 ) -> dict[str, StreamingQuery]:
     """All jobs, each reading its log on its own and keeping its own checkpoint.
 
+    ``trigger`` is for all of them; without it each job has its own pace.
+
     The logs are given as functions that open a new stream, at the position the
     caller chose: the live end of a topic, or its beginning for a replay.
     """
     starts = {
-        "bronze": lambda c: start_bronze(event_log(), out, c, trigger),
-        "validated": lambda c: start_validated(event_log(), out, c, trigger),
-        "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger),
-        "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger),
-        "dimensions": lambda c: start_changes(change_log(), out, c, trigger, ("category", "user", "product")),
-        "facts": lambda c: start_changes(change_log(), out, c, trigger, ("order", "order_item"), rejects=False),
+        "bronze": lambda c: start_bronze(event_log(), out, c, trigger or LIVE),
+        "validated": lambda c: start_validated(event_log(), out, c, trigger or LIVE),
+        "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger or SESSIONS_LIVE),
+        "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger or FUNNEL_LIVE),
+        "dimensions": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("category", "user", "product")),
+        "facts": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("order", "order_item"), rejects=False),
     }
     return {name: start(f"{checkpoints}/{name}") for name, start in starts.items()}

@@ -2,8 +2,9 @@
 
 ``foreachBatch`` may run a batch again after a failure. Every write below
 replaces what an earlier run of the same batch wrote, so a repeat changes
-nothing. A batch is named after its query's checkpoint and its number, hence
-another checkpoint never overwrites the batches of this one.
+nothing. A batch is named after its query's start, its checkpoint and its
+number, hence another checkpoint never overwrites the batches of this one, and
+names sort as the batches were made.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import hashlib
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.keyed import last_per_key
 
@@ -33,9 +34,17 @@ SERVING_DEFAULTS: dict[str, dict[str, Any]] = {
 }
 
 
-def batch_label(checkpoint: str, batch_id: int) -> str:
+def started(spark: SparkSession, checkpoint: str) -> int:
+    """When the checkpoint was made: the time of the file that holds its query's id, which is never written again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getFileStatus(path).getModificationTime()
+
+
+def batch_label(checkpoint: str, batch_id: int, since: int = 0) -> str:
+    """Sorts by the start of the query, then by batch."""
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-    return f"{run}-{batch_id:012d}"
+    return f"{since:015d}-{run}-{batch_id:012d}"
 
 
 def append_batch(df: DataFrame, path: str, label: str, partition_by: Sequence[str] = ()) -> None:
@@ -91,10 +100,14 @@ def upsert_batch(
 
 
 def read_serving(
-    spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]
+    spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Current rows of a keyed table: the greatest ``order_by`` wins, then the later batch."""
-    return last_per_key(spark.read.parquet(path), keys, [*order_by, BATCH]).drop(BATCH)
+    """Current rows of a keyed table: the greatest ``order_by`` wins, then the later batch.
+
+    With ``schema`` (of the rows) a table whose batches were all empty has no rows; without it Spark cannot read one.
+    """
+    reader = spark.read.schema(schema.add(BATCH, "string")) if schema else spark.read
+    return last_per_key(reader.parquet(path), keys, [*order_by, BATCH]).drop(BATCH)
 
 
 def compact_serving(
