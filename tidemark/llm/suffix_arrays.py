@@ -21,41 +21,44 @@ def _split(places: np.ndarray, s: np.ndarray) -> list[np.ndarray]:
     symbols = s[places]
     order = np.argsort(symbols, kind="stable")
     places, symbols = places[order], symbols[order]
-    return np.split(places, np.flatnonzero(symbols[1:] != symbols[:-1]) + 1) if len(places) else []
+    cuts = [0, *(np.flatnonzero(symbols[1:] != symbols[:-1]) + 1).tolist(), len(places)]
+    return [places[a:b] for a, b in zip(cuts, cuts[1:])] if len(places) else []
 
 
 def _induce(s: np.ndarray, small: np.ndarray, leftmost: np.ndarray, sigma: int) -> np.ndarray:
     """The order that the given order of the leftmost smaller suffixes induces, for a small alphabet.
 
     A bucket (all suffixes of one first symbol) is worked off in runs: a run places the suffixes one place to the
-    left of its own, behind what the other buckets hold already.
+    left of its own, behind what the other buckets hold already. What it adds to its own bucket is the next run.
     """
+    waiting: list[list[np.ndarray]] = [[] for _ in range(sigma)]
     larger: list[list[np.ndarray]] = [[] for _ in range(sigma)]
     lower: list[list[np.ndarray]] = [[] for _ in range(sigma)]
     given: list[list[np.ndarray]] = [[] for _ in range(sigma)]
     for part in _split(leftmost, s):
         given[s[part[0]]].append(part)
 
-    def place(run: np.ndarray, kind: bool, into: list[list[np.ndarray]]) -> None:
+    def place(run: np.ndarray, kind: bool) -> None:
         left = run[run > 0] - 1
         for part in _split(left[small[left] == kind], s):
-            into[s[part[0]]].append(part)
+            waiting[s[part[0]]].append(part)
+
+    def work_off(c: int, kind: bool, into: list[list[np.ndarray]]) -> None:
+        while waiting[c]:
+            run = waiting[c][0] if len(waiting[c]) == 1 else np.concatenate(waiting[c])
+            waiting[c] = []
+            into[c].append(run)
+            place(run, kind)
 
     for c in range(sigma):
-        done = 0
-        while done < len(larger[c]):  # a bucket may grow while it is worked off
-            place(larger[c][done], False, larger)
-            done += 1
+        work_off(c, False, larger)
         for run in given[c]:
-            place(run, False, larger)
-    lower[0].append(np.array([len(s) - 1]))
+            place(run, False)
+    waiting[0].append(np.array([len(s) - 1]))
     for c in range(sigma - 1, -1, -1):  # from the right; lower buckets are held in that order
-        done = 0
-        while done < len(lower[c]):
-            place(lower[c][done], True, lower)
-            done += 1
+        work_off(c, True, lower)
         for run in reversed(larger[c]):
-            place(run[::-1], True, lower)
+            place(run[::-1], True)
     return np.concatenate([run for c in range(sigma) for run in (
         *larger[c], *([np.concatenate(lower[c])[::-1]] if lower[c] else []))])
 

@@ -16,6 +16,7 @@ digests of 128 bits, as tables are; that grows with the different windows of a b
 
 from __future__ import annotations
 
+import collections
 import hashlib
 from collections.abc import Iterator
 
@@ -97,17 +98,16 @@ class Batch:
         place = np.arange(len(grams), dtype=np.uint64)
         packed = ((grams >> np.uint64(bits)) << np.uint64(bits)) | (np.uint64((1 << bits) - 1) - place)
         least = _sliding_least(packed, self.length - GRAM + 1)[:starts]
-        at = (np.uint64((1 << bits) - 1) - (least & np.uint64((1 << bits) - 1))).astype(np.int64)
-        begin = low + np.arange(starts)
-        text = np.searchsorted(ends, begin, side="right")
-        whole_ = np.flatnonzero(begin + self.length <= ends[text])  # windows inside one text
-        if not len(whole_):
-            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        at, text, begin = at[whole_], text[whole_], begin[whole_]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
+        new = np.ones(starts, dtype=bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        new[ends[(ends > low) & (ends < low + starts)] - low] = True  # another text begins
         head = np.flatnonzero(new)
-        return grams[at[head]], begin[head], begin[np.append(head[1:], len(at)) - 1]
+        at = (np.uint64((1 << bits) - 1) - (least[head] & np.uint64((1 << bits) - 1))).astype(np.int64)
+        last = low + np.append(head[1:], starts) - 1
+        head += low
+        last = np.minimum(last, ends[np.searchsorted(ends, head, side="right")] - self.length)  # windows inside one text
+        some = last >= head
+        return grams[at[some]], head[some], last[some]
 
     def run(self, i: int) -> bytes:
         return self.data[self.first[i]:self.last[i] + self.length]
@@ -221,8 +221,14 @@ def _repeated(wanted: DataFrame, length: int) -> DataFrame:
         which = np.array([number.setdefault((int(k), data[a:a + n]), len(number)) for k, a, n in zip(keys, begin, sizes)])
         often = np.bincount(which, weights=times, minlength=len(number)) > 1
         flags: list[np.ndarray | None] = [None] * len(number)
+        # Two windows of one run differ, as they hold its anchor in different places, so a run without another of its
+        # anchor has nothing to be compared with.
+        alone = collections.Counter(key for key, _ in number)
         shard, size = [], 0
         for (key, run), j in sorted(number.items()):  # all runs of an anchor are in one shard
+            if alone[key] == 1:
+                flags[j] = np.full(len(run) - length + 1, often[j])
+                continue
             if shard and size >= SHARD and key != shard[-1][1]:
                 _flag(shard, flags, often, length)
                 shard, size = [], 0
