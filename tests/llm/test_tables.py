@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from hard_rows import prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import katz, packing, suffixes, warc
 from tidemark.llm.suffix_arrays import common_prefixes, suffix_array
@@ -19,8 +20,7 @@ from tidemark.llm.vectors import index, nearest
 
 def search(spark, rows, kind="array<float>"):
     table = spark.createDataFrame(rows, f"vec_id long, embedding {kind}, rid string, code string")
-    coded, dim = index(table)
-    return coded, [tuple(r) for r in nearest(coded, dim, coded["vec_id"] % 100 == 0).collect()]
+    return [tuple(r) for r in nearest(index(table), F.col("vec_id") % 100 == 0).collect()]
 
 
 def test_neighbours_equal_brute_force(spark):
@@ -32,7 +32,7 @@ def test_neighbours_equal_brute_force(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(None, [1.0] * 24), (1000, None), (1100, [0.0] * 24), (1200, [nan] + [1.0] * 23), (1300, [inf] + [1.0] * 23),
            (1400, [None] + [1.0] * 23), (1500, [1.0] * 3), (1600, [])]
-    _, got = search(spark, made + [(i, v, "x", "y") for i, v in bad])
+    got = search(spark, made + [(i, v, "x", "y") for i, v in bad])
     wide = vecs.astype(np.float64)
     expected = []
     for q in range(0, 900, 100):
@@ -47,11 +47,11 @@ def test_neighbours_equal_brute_force(spark):
 
 
 def test_few_vectors_and_none(spark):
-    _, got = search(spark, [(0, [1.0, 0.0], "", ""), (1, [0.0, 1.0], "", ""), (2, [1.0, 0.0], "", "")])
+    got = search(spark, [(0, [1.0, 0.0], "", ""), (1, [0.0, 1.0], "", ""), (2, [1.0, 0.0], "", "")])
     assert got == [(0, 1, 2, 0.0), (0, 2, 1, math.sqrt(2))]
-    assert search(spark, [(0, [1.0, 2.0], "", "")])[1] == []
-    assert search(spark, [(0, None, "", "")])[1] == []
-    assert sorted(search(spark, [(0, [1.0], "", ""), (0, [1.0], "", "")])[1]) == [(0, 1, 0, 0.0)] * 2  # a repeated row
+    assert search(spark, [(0, [1.0, 2.0], "", "")]) == []
+    assert search(spark, [(0, None, "", "")]) == []
+    assert sorted(search(spark, [(0, [1.0], "", ""), (0, [1.0], "", "")])) == [(0, 1, 0, 0.0)] * 2  # a repeated row
 
 
 def local(path: str) -> str:

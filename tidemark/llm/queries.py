@@ -39,8 +39,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded, dim = index(_table(spark, sf_dir, "embeddings"))
-    return nearest(coded, dim, F.col("vec_id") % 100 == 0)
+    return nearest(index(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

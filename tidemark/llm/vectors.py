@@ -12,6 +12,7 @@ few of each query, and those of all blocks are merged.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,17 @@ def usable(vector: Column) -> Column:
                       & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def index(table: DataFrame, *, vector: str = "embedding", seed: int = 1) -> tuple[DataFrame, int]:
-    """``(rows, dimension)``: ``rid, vec_id, vec, code, radius, fit`` for each vector that takes part.
+class Index(NamedTuple):
+    """``rows``: ``rid, vec_id, vec, code, radius, fit`` for each vector that takes part."""
+
+    rows: DataFrame
+    dim: int
+    centre: np.ndarray
+    seed: int
+
+
+def index(table: DataFrame, *, vector: str = "embedding", seed: int = 1) -> Index:
+    """Codes of all vectors, written once.
 
     Rows without an id, unusable vectors and vectors of another length than most take no part.
     """
@@ -52,7 +62,7 @@ def index(table: DataFrame, *, vector: str = "embedding", seed: int = 1) -> tupl
     common = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     schema = "rid long, vec_id long, vec array<double>, code binary, radius double, fit double"
     if common is None:
-        return table.sparkSession.createDataFrame([], schema), 0
+        return Index(table.sparkSession.createDataFrame([], schema), 0, np.empty(0), seed)
     dim = common["dim"]
     rows = rows.where(F.col("dim") == dim).drop("dim")
     centre = np.array(rows.agg(*[F.avg(F.col("vec")[i]) for i in range(dim)]).first(), dtype=np.float64)
@@ -69,23 +79,21 @@ def index(table: DataFrame, *, vector: str = "embedding", seed: int = 1) -> tupl
                 [*batch.columns, pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(radius), pa.array(fit)],
                 [*batch.schema.names, "code", "radius", "fit"])
 
-    coded = saved(rows.mapInArrow(code, schema), "vector-codes")
-    coded.centre, coded.seed = centre, seed
-    return coded, dim
+    return Index(saved(rows.mapInArrow(code, schema), "vector-codes"), dim, centre, seed)
 
 
-def nearest(coded: DataFrame, dim: int, queries: Column, *, k: int = 10, epsilon: float = 3.0) -> DataFrame:
+def nearest(of: Index, queries: Column, *, k: int = 10, epsilon: float = 3.0) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of least Euclidean distance to each row that is a query.
 
     A row is no neighbour of itself; equal distances go to the smaller id. ``epsilon`` is the width of the error
     bound in standard deviations of the estimate. Repeated rows are rows of their own.
     """
     schema = "query_id long, query_rid long, vec_id long, rid long, score double"
+    coded, dim, centre, seed = of
     asked = coded.where(queries)
     n, m = coded.count(), asked.count()
     if not n or not m:
         return coded.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    centre, seed = coded.centre, coded.seed
     chunks, blocks = -(-n // ROWS), -(-m // QUERIES)
 
     def spread(count: int) -> Column:
