@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import saved, whole
 from tidemark.llm.packing import loosen, loosen_sorted, squeeze, squeeze_sorted
 
-BATCH = 1_000_000  # tokens
-KEYS = 1_000_000  # n-grams in a part of a table
+BATCH = 500_000  # tokens
+KEYS = 500_000  # n-grams in a part of a table
 BEGIN = np.uint64(0x9E3779B97F4A7C15)  # stands before each text; a context only
 TURING = 5  # counts up to this are discounted by Turing's estimate, others by a fitted line
 SEEN = 12  # numbers of n-grams of one count kept: for counts below this
