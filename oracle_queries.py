@@ -136,6 +136,11 @@ SELECT category, count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS
 FROM sold GROUP BY category"""
 
 
+def _pad(mark: int) -> str:
+    """The suite's masking secret, filled up to a block and combined with the mark."""
+    return bytes(b ^ mark for b in b"secret of the suite".ljust(64, b"\0")).hex()
+
+
 def rules(table: str, source: str, checks: list[tuple[str, str, str]], prefix: str) -> str:
     parts = [
         f"SELECT '{table}' AS \"table\", '{rule}' AS rule, '{subject}' AS subject, v AS violations, v = 0 AS passed "
@@ -375,8 +380,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN od.order_id IS NULL THEN 'no order' WHEN li.order_id IS NULL THEN 'no items' ELSE 'mismatch' END
         AS status
       FROM od FULL JOIN li ON od.order_id = li.order_id WHERE od.cents IS DISTINCT FROM li.cents""",
-    "masked_sessions": f"""WITH {sessions()} SELECT session_id, sha256(user_id) AS user_id, session_start,
-      event_count FROM sm""",
+    "masked_sessions": f"""WITH {sessions()} SELECT session_id, sha256(unhex('{_pad(0x5C)}') ||
+      unhex(sha256(unhex('{_pad(0x36)}') || encode(user_id)))) AS user_id, session_start, event_count FROM sm""",
     "schema_evolution": f"""WITH {EVENTS} SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS events,
       count(*) FILTER (event_timestamp >= TIMESTAMP '2024-01-16 00:00:00') AS with_campaign,
       count(DISTINCT CASE WHEN event_timestamp >= TIMESTAMP '2024-01-16 00:00:00' THEN right(user_id, 1) END)

@@ -1,5 +1,6 @@
 """Contracts, rules, reports and metrics on small tables."""
 
+import hmac
 import json
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark import contracts
 from tidemark.operators import quality
 from tidemark.plans import metrics, reports
+from tidemark.sources.logs import contract_options
 
 NOW = datetime(2024, 1, 31)
 
@@ -76,8 +78,48 @@ def test_conform_and_mask(spark):
     df = spark.createDataFrame([("U1", "Ann")], "user_id string, name string")
     full = contracts.conform(df, c)
     assert full.columns == c.names and full.first().city is None
-    masked = contracts.mask(df, c).first()
-    assert len(masked.user_id) == 64 and masked.name != "Ann"
+    for secret in (b"key", b"k" * 100):
+        masked = contracts.mask(df, c, secret).first()
+        assert masked.user_id == hmac.new(secret, b"U1", "sha256").hexdigest() and masked.name != "Ann"
+    with pytest.raises(ValueError):
+        contracts.mask(df, c, b"")
+
+
+NESTED = {
+    "id": "urn:x:raw", "servers": [{"type": "kafka", "topic": "t", "config": {
+        "properties.group.id": "g", "scan.startup.mode.default": "latest-offset",
+        "scan.startup.mode.backfill": "earliest-offset", "json.ignore-parse-errors": "true"}}],
+    "schema": [{"name": "raw", "physicalType": "table", "properties": [
+        {"name": "id", "physicalType": "STRING", "required": True, "unique": True},
+        {"name": "kind", "physicalType": "STRING", "quality": [{"type": "enum", "values": ["a"]}]},
+        {"name": "at", "physicalType": "TIMESTAMP(6)", "required": True},
+        {"name": "day", "physicalType": "DATE", "partitionKeyPosition": 1}]}],
+    "customProperties": [{"property": "owner", "value": "team's"}],
+    "quality": [{"type": "custom", "description": "day IS NOT NULL"}, {"type": "freshness", "interval": "5m"}],
+}
+
+
+def test_nested_layout(spark, tmp_path):
+    c = contracts.Contract.from_dict(NESTED)
+    assert [f.dataType.simpleString() for f in c.schema] == ["string", "string", "timestamp_ntz", "date"]
+    assert c.partition_by == ("day",) and c.required == ["id", "at"]
+    options = contract_options(c, "b:1")
+    assert options == {"kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "latest", "kafka.group.id": "g"}
+    assert contract_options(c, "b:1", True)["startingOffsets"] == "earliest"
+    rows = [("1", "a", NOW, NOW.date()), ("1", "b", NOW, None)]
+    checked = quality.check(spark.createDataFrame(rows, c.schema), c)
+    found = {(r.rule, r.subject): r.violations for r in checked.collect()}
+    assert found == {("required", "id"): 0, ("required", "at"): 0, ("enumeration", "kind"): 1,
+                     ("custom", "day IS NOT NULL"): 1, ("freshness", "at"): None, ("uniqueness", "id"): 1}
+    contracts.bootstrap(spark, str(tmp_path), {"bronze.nested": c})
+    assert "contract.owner=team's" in spark.sql("DESCRIBE TABLE EXTENDED bronze.nested").where("col_name = 'Table Properties'").first().data_type
+
+
+@pytest.mark.parametrize("rule", [{"type": "odd"}, {"type": "custom"}])
+def test_rules_that_cannot_be_evaluated_raise(spark, rule):
+    c = contracts.Contract.from_dict({"id": "x", "schema": [{"name": "i", "type": "INT"}], "quality": [rule]})
+    with pytest.raises(ValueError):
+        quality.check(spark.range(1).selectExpr("1 AS i"), c)
 
 
 def test_rules_find_every_kind_of_violation(spark):

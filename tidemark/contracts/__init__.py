@@ -6,6 +6,7 @@ can be given as a dict with the same keys, or as a YAML file if PyYAML is there.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from dataclasses import dataclass, field
@@ -13,7 +14,7 @@ from functools import cached_property
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 HERE = Path(__file__).parent
 LAYERS = ("bronze", "silver", "gold", "entities")
@@ -42,6 +43,22 @@ def spark_type(name: str) -> T.DataType:
     return _TYPES[base]
 
 
+def _columns(schema: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    """The columns of a flat schema, or of the one table of a nested one."""
+    tables = [c for c in schema if "properties" in c]
+    if len(tables) > 1:
+        raise ValueError("a contract describes one table")
+    return tables[0]["properties"] if tables else schema
+
+
+def _column(column: dict[str, Any]) -> dict[str, Any]:
+    """``physicalType`` is another name of the type, ``unique`` another form of the rule."""
+    column = {**column, "type": column.get("type") or column["physicalType"]}
+    if column.get("unique"):
+        column["quality"] = [*column.get("quality", ()), {"type": "uniqueness"}]
+    return column
+
+
 @dataclass(frozen=True)
 class Contract:
     id: str
@@ -53,7 +70,7 @@ class Contract:
 
     @classmethod
     def from_dict(cls, spec: dict[str, Any]) -> Contract:
-        columns = tuple(spec["schema"])
+        columns = tuple(_column(c) for c in _columns(spec["schema"]))
         keyed = sorted(
             (c for c in columns if "partitionKeyPosition" in c),
             key=lambda c: c["partitionKeyPosition"],
@@ -146,10 +163,23 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     ])
 
 
-def mask(df: DataFrame, contract: Contract, tag: str = USER_IDENTIFIER) -> DataFrame:
-    """Replace every column carrying ``tag`` by its SHA-256 digest."""
+def _keyed_digest(text: Column, secret: bytes) -> Column:
+    """HMAC with SHA-256, as text."""
+    key = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in key)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, text.cast("binary")), 256))), 256)
+
+
+def mask(df: DataFrame, contract: Contract, secret: bytes, tag: str = USER_IDENTIFIER) -> DataFrame:
+    """Replace every column carrying ``tag`` by its digest under ``secret``.
+
+    Ids are few enough to hash them all, so a digest without a key would hide
+    nothing. Equal ids stay equal under one secret; keep it with the other secrets.
+    """
+    if not secret:
+        raise ValueError("masking needs a secret")
     digests = {
-        name: F.sha2(F.col(name).cast("string"), 256)
+        name: _keyed_digest(F.col(name).cast("string"), secret)
         for name in contract.tagged(tag)
         if name in df.columns
     }
@@ -179,16 +209,21 @@ def breaking_changes(old: Contract, new: Contract) -> list[str]:
 
 
 def bootstrap(spark: SparkSession, root: str, contracts: dict[str, Contract] | None = None) -> list[str]:
-    """Create the layer databases and their Parquet tables below ``root`` if absent."""
+    """Create the layer databases and their Parquet tables below ``root`` if absent.
+
+    A contract's properties become table properties under ``contract.``, as some names belong to Spark.
+    """
     created = []
     for name, contract in (contracts or all_contracts()).items():
         layer, table = name.split(".")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.schema)
         partitioned = f"PARTITIONED BY ({', '.join(contract.partition_by)})" if contract.partition_by else ""
+        pairs = ", ".join("'contract.{}' = '{}'".format(*(str(x).replace("'", "\\'") for x in p)) for p in contract.properties.items())
+        properties = f" TBLPROPERTIES ({pairs})" if pairs else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioned} "
-            f"LOCATION '{root}/{layer}/{table}'"
+            f"LOCATION '{root}/{layer}/{table}'{properties}"
         )
         created.append(name)
     return created

@@ -451,7 +451,7 @@ def quality_declared(spark, sf_dir):
 
 @query
 def masked_sessions(spark, sf_dir):
-    return contracts.mask(_sessions(spark, sf_dir), contracts.load("gold.session_metrics")).select(
+    return contracts.mask(_sessions(spark, sf_dir), contracts.load("gold.session_metrics"), b"secret of the suite").select(
         "session_id", "user_id", "session_start", "event_count"
     )
 

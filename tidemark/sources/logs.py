@@ -45,10 +45,15 @@ def contract_options(contract: Contract, brokers: str, from_beginning: bool = Fa
     """The same options, taken from the broker entry of a contract."""
     server = contract.server("kafka")
     config = dict(server.get("config", {}))
-    live = config.pop("startingOffsets.default", "latest")
-    backfill = config.pop("startingOffsets.backfill", "earliest")
+    start = {}
+    for when, usual in (("default", "latest"), ("backfill", "earliest")):
+        other = config.pop(f"scan.startup.mode.{when}", usual)  # another name of the same setting
+        start[when] = config.pop(f"startingOffsets.{when}", other).removesuffix("-offset")
+    # Client settings have a prefix here; how to read JSON is not the broker's business.
+    config = {f"kafka.{k.removeprefix('properties.')}" if k.startswith("properties.") else k: v
+              for k, v in config.items() if not k.startswith("json.")}
     options = broker_options(brokers, server["topic"], from_beginning, **config)
-    options["startingOffsets"] = backfill if from_beginning else live
+    options["startingOffsets"] = start["backfill" if from_beginning else "default"]
     return options
 
 
