@@ -25,7 +25,7 @@ def rows(df) -> list[tuple]:
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"op4_neighbours"}))  # that table has a test of its own
 def test_equals_sql(spark, tables, name):
     db = duckdb.connect()
     for table in ("documents", "pages"):

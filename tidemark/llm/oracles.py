@@ -58,6 +58,21 @@ def _archive() -> str:
     FROM q"""
 
 
+def _neighbours(k: int = 10) -> str:
+    """The exact neighbours: the codes' recall is below 1 if a row differs."""
+    return f"""WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    u AS (SELECT * FROM v WHERE len(e) = (SELECT len(e) FROM v GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+    d AS (
+      SELECT q.vec_id AS query_id, q.rid AS q_rid, u.vec_id, u.rid,
+        sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - u.e[i]) * (q.e[i] - u.e[i])), lambda x, y: x + y)) AS score
+      FROM u q JOIN u ON u.rid <> q.rid WHERE q.vec_id % 100 = 0)
+    SELECT query_id, rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id, q_rid ORDER BY score, vec_id, rid)::INT AS rank FROM d) WHERE rank <= {k}"""
+
+
 def _quality(support: float = 0.75, steps: int = 3, min_docs: int = 60, cutoff: float = 200.0) -> str:
     floors = [float(v) for v in COMPONENTS.values()]
     normal = DIM * (1 - 2 / (9 * DIM)) ** 3
@@ -177,4 +192,5 @@ def _licenses(gap: int = 8, drift: int = 8, least: float = 0.7) -> str:
     LEFT JOIN (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS l, max(coverage) AS score FROM labelled GROUP BY rid) m USING (rid)"""
 
 
-ORACLES = {"op1_quality": _quality(), "op2_licenses": _licenses(), "op3_mixing": _mixing(), "op5_warc": _archive()}
+ORACLES = {"op1_quality": _quality(), "op2_licenses": _licenses(), "op3_mixing": _mixing(),
+           "op4_neighbours": _neighbours(), "op5_warc": _archive()}

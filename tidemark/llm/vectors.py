@@ -126,7 +126,10 @@ def nearest(of: Index, queries: Column, *, k: int = 10, epsilon: float = 3.0) ->
             low = far - 2 * radius * size * error
 
             def exact(some: np.ndarray) -> np.ndarray:
-                return np.sqrt(((vecs[some] - q) ** 2).sum(axis=1))
+                total = np.zeros(len(some))
+                for away in (vecs[some] - q).T:  # one component after the other, so that sums never differ in a digit
+                    total += away * away
+                return np.sqrt(total)
 
             few = min(len(far), 4 * k)
             first = np.argpartition(far, few - 1)[:few]
