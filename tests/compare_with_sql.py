@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as suite  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages embeddings".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

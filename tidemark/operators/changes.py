@@ -130,8 +130,7 @@ def history(
 
     timeline = Window.partitionBy(key).orderBy("_cell")
     cells = (
-        log.select(key, changed, cell_start(changed, cell).alias("_cell"))
-        .groupBy(key, "_cell")
+        versions.groupBy(key, "_cell")
         .agg(F.min(changed).alias("_first"))
         .withColumn("_next_cell", F.lead("_first").over(timeline))
         .select(key, "_cell", "_next_cell")
