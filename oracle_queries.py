@@ -338,6 +338,12 @@ ORACLES: dict[str, str] = {
       {_ROLLUP_SUMS}, CAST(sum(session_duration_seconds) AS BIGINT) AS avg_session_duration_seconds__sum,
       count(*) AS avg_session_duration_seconds__count, count(*) FILTER (converted) AS converted_sessions
       FROM sm GROUP BY 1, 2""",
+    "preagg_hit": f"""WITH {sessions()} SELECT converted, count(*) AS count, CAST(sum(purchases) AS BIGINT)
+      AS total_purchases FROM sm WHERE converted GROUP BY 1""",
+    "preagg_miss": f"""WITH {sessions()} SELECT CAST(date_trunc('month', session_date) AS TIMESTAMP) AS session_date,
+      count(*) AS count, count(DISTINCT session_id) AS total_sessions FROM sm GROUP BY 1""",
+    "preagg_month_from_day": f"""WITH {sessions()} SELECT CAST(date_trunc('month', session_date) AS TIMESTAMP)
+      AS session_date, count(*) AS count, CAST(sum(page_views) AS BIGINT) AS total_page_views FROM sm GROUP BY 1""",
     "preagg_weekly_from_daily": f"""WITH {sessions()} SELECT CAST(date_trunc('week', session_date) AS TIMESTAMP)
       AS session_date, count(*) AS count, CAST(sum(purchases) AS BIGINT) AS total_purchases,
       CAST(count(*) FILTER (converted) AS DOUBLE) / count(*) AS conversion_rate,

@@ -298,3 +298,20 @@ def test_jobs_keep_what_they_cannot_read(spark, tmp_path):
     rejected = {(r.value, r.reason) for r in spark.read.parquet(f"{out}/lake/rejected_changes").collect()}
     assert {("not json", "unparseable"), (lines[3], "unknown entity")} <= rejected and len(rejected) == 4
     assert [r.category_id for r in spark.read.parquet(f"{out}/serving/categories").collect()] == ["c"]
+
+
+def test_requests_a_rollup_does_not_cover_go_to_the_table(spark):
+    schema = ("session_id string, user_id string, session_date date, event_count bigint, page_views bigint, "
+              "add_to_carts bigint, purchases bigint, session_duration_seconds bigint, converted boolean")
+    rows = [(f"S{i}", "U", date(2024, 1, 1 + i), 1, i, 1, 1, 1, i > 1) for i in range(4)]
+    sessions = spark.createDataFrame(rows, schema)
+    none = metrics.pre_aggregate(sessions, "session_metrics", ["session_date", "converted"], "day").limit(0)
+
+    def count(**request):
+        return metrics.answer(sessions, "session_metrics", ["count"], rollups=[none], **request).collect()
+
+    assert count(dimensions=["converted"]) == []  # covered
+    assert count(dimensions=["converted"], where="converted") == []
+    assert [r["count"] for r in count(where="page_views > 0")] == [3]
+    assert [r["count"] for r in count(where="session_date > DATE'2024-01-02'")] == [2]
+    assert sum(r["count"] for r in count(dimensions=["session_date"])) == 4  # finer than the rollup

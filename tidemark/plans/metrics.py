@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import safe_ratio
@@ -200,3 +202,39 @@ def query_rollup(
     rows = rollup if where is None else rollup.where(where)
     grouped = rows.groupBy(*_dimensions(model, dimensions, grain)).agg(*aggregates)
     return _finish(grouped, model, measures, dimensions)
+
+
+def store_rollup(rollup: DataFrame, root: str, cube: str, name: str) -> str:
+    """Store a pre-aggregate where ``answer`` finds it; the grain is kept with its columns."""
+    path = f"{root}/{cube}/{name}"
+    rollup.write.mode("overwrite").parquet(path)
+    return path
+
+
+def answer(
+    table: DataFrame,
+    cube: str,
+    measures: Sequence[str],
+    dimensions: Sequence[str] = (),
+    where: str | None = None,
+    grain: str | None = None,
+    rollups: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """Answer a request from the first rollup that covers it, else from the gold table.
+
+    A rollup covers a request if it has the dimensions at a grain the asked one is made of, no measure is a distinct
+    count, and the filter names its untruncated dimensions only.
+    """
+    for rollup in rollups:
+        try:
+            if where:
+                timed = {f.name for f in rollup.schema if "grain" in f.metadata}
+                # A name inside a literal counts too, which costs a hit at most.
+                named = {c for c in rollup.columns if re.search(rf"\b{c}\b", where)}
+                if named & timed or not named <= set(CUBES[cube].dimensions):
+                    continue
+            return query_rollup(rollup, cube, measures, dimensions, where, grain)
+        except (KeyError, ValueError, AnalysisException):
+            continue
+    return query(table, cube, measures, dimensions, where, grain)
+

@@ -38,8 +38,8 @@ def rebuild(
 ) -> dict[str, str]:
     """Replace all six layered tables and the two reject tables from a raw log.
 
-    The log is parsed once, into bronze. Later tables read the stored one
-    before them, so a lost executor costs a re-read of files, not of the log.
+    The log is parsed into bronze, and once more for the text that cannot be
+    read. Later tables read the stored one before them, so a lost executor costs a re-read of files, not of the log.
     """
     spark = raw.sparkSession
 

@@ -378,6 +378,37 @@ def preagg_weekly_from_daily(spark, sf_dir):
     return metrics.query_rollup(daily, "session_metrics", wanted, ["session_date"], grain="week")
 
 
+def _stored_daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sessions, and their stored totals by day and outcome."""
+    sessions = _sessions(spark, sf_dir)
+    daily = metrics.pre_aggregate(sessions, "session_metrics", ["session_date", "converted"], "day")
+    path = metrics.store_rollup(daily, work_path(spark, "rollups"), "session_metrics", "daily")
+    return sessions, spark.read.parquet(path)
+
+
+@query
+def preagg_hit(spark, sf_dir):
+    """Answered from the stored totals; the gold table given here is empty."""
+    sessions, daily = _stored_daily(spark, sf_dir)
+    return metrics.answer(sessions.limit(0), "session_metrics", ["count", "total_purchases"], ["converted"],
+                          where="converted", rollups=[daily])
+
+
+@query
+def preagg_miss(spark, sf_dir):
+    """Distinct counts cannot be made of totals, so the gold table answers."""
+    sessions, daily = _stored_daily(spark, sf_dir)
+    return metrics.answer(sessions, "session_metrics", ["count", "total_sessions"], ["session_date"], grain="month",
+                          rollups=[daily.limit(0)])
+
+
+@query
+def preagg_month_from_day(spark, sf_dir):
+    sessions, daily = _stored_daily(spark, sf_dir)
+    return metrics.answer(sessions.limit(0), "session_metrics", ["count", "total_page_views"], ["session_date"],
+                          grain="month", rollups=[daily])
+
+
 # --- contracts and quality ----------------------------------------------------
 
 
