@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.katz import SEEN, TURING
 from tidemark.llm.license_texts import PHRASES, TEMPLATES
 from tidemark.llm.quality import COMPONENTS, DIM
 
@@ -192,5 +193,73 @@ def _licenses(gap: int = 8, drift: int = 8, least: float = 0.7) -> str:
     LEFT JOIN (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS l, max(coverage) AS score FROM labelled GROUP BY rid) m USING (rid)"""
 
 
+def _katz() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    less = f"""c * CASE WHEN c <= {TURING} AND coalesce(turing[c::INT], 0) > 0 AND turing[c::INT] < 1 THEN turing[c::INT]
+        ELSE pow(1 + 1 / c::DOUBLE, power) END"""
+
+    def discount(counts: str) -> str:
+        """Turing's factors for small counts, and the power of the fitted line."""
+        return f"""SELECT list_transform(range(1, {TURING + 1}), lambda r: (r + 1) * coalesce(n[r + 1], 0)::DOUBLE / (r * n[r])) AS turing,
+          least(coalesce(slope, -2) + 1, -0.05::DOUBLE) AS power
+        FROM (SELECT map_from_entries(list((c, k))) AS n, CASE WHEN count(*) > 1 THEN regr_slope(ln(k::DOUBLE), ln(c::DOUBLE)) END AS slope
+          FROM (SELECT c, count(*) AS k FROM {counts} WHERE c < {SEEN} GROUP BY c))"""
+
+    return f"""WITH polynomial AS MATERIALIZED (
+      SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))) AS t),
+    docs AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, doc_id, list_append(list_filter(regexp_split_to_array(
+          translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{GAP}'), lambda w: w <> ''), '') AS words,
+        xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''),
+          lambda x: x <> ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 7 = 2 AS held
+      FROM documents, polynomial),
+    tokens AS MATERIALIZED (
+      SELECT rid, held, w, coalesce(lag(w) OVER (PARTITION BY rid ORDER BY p), ' begin') AS h
+      FROM (SELECT rid, held, unnest(words) AS w, unnest(range(len(words))) AS p FROM docs)),
+    one AS MATERIALIZED (SELECT w, count(*) AS c FROM tokens WHERE NOT held GROUP BY w),
+    two AS MATERIALIZED (SELECT h, w, count(*) AS c FROM tokens WHERE NOT held GROUP BY h, w),
+    size AS MATERIALIZED (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM one),
+    d1 AS MATERIALIZED ({discount("one")}), d2 AS MATERIALIZED ({discount("two")}),
+    p1 AS MATERIALIZED (SELECT w, c, {less} / n AS p FROM one, d1, size),
+    unknown AS MATERIALIZED (SELECT greatest(1 - coalesce(sum(p), 0), 1e-12) AS p FROM p1),
+    p2 AS MATERIALIZED (
+      SELECT h, w, {less} / sum(c) OVER (PARTITION BY h) AS p FROM two, d2),
+    weights AS MATERIALIZED (
+      SELECT h, (1 - sum(p2.p)) / (1 - sum(p1.p)) AS a FROM p2 JOIN p1 USING (w) GROUP BY h),
+    scored AS (
+      SELECT rid, count(*) AS n_tokens, count(p1.c) AS n_known, sum(log10((coalesce(p1.c, 0) + 1)::DOUBLE / (n + v + 1))) AS base_score,
+        sum(CASE WHEN p2.p IS NOT NULL THEN log10(p2.p) ELSE log10(coalesce(p1.p, u.p)) + coalesce(log10(a), 0) END) AS score
+      FROM tokens CROSS JOIN size CROSS JOIN unknown u LEFT JOIN p1 ON p1.w = tokens.w
+        LEFT JOIN p2 ON p2.h = tokens.h AND p2.w = tokens.w LEFT JOIN weights ON weights.h = tokens.h
+      GROUP BY rid)
+    SELECT doc_id, held AS held_out, n_tokens, n_known, n AS train_tokens, round(base_score, 6) AS base_score, round(score, 6) AS score
+    FROM docs JOIN scored USING (rid), size"""
+
+
+def _repeats(length: int = 200) -> str:
+    return f"""WITH docs AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+    starts AS (
+      SELECT rid, i, md5(substr(x, 2 * i + 1, {2 * length})) AS g
+      FROM (SELECT rid, x, unnest(range(n - {length - 1})) AS i FROM docs WHERE n >= {length})),
+    again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS k FROM starts) WHERE k > 1),
+    marks AS (
+      SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + {length} THEN 0 ELSE 1 END AS new FROM again),
+    runs AS MATERIALIZED (
+      SELECT rid, min(i) AS a, max(i) + {length} AS b
+      FROM (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS r FROM marks) GROUP BY rid, r),
+    pieces AS (
+      SELECT rid, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS a, a AS b FROM runs
+      UNION ALL SELECT rid, max(b), NULL FROM runs GROUP BY rid),
+    kept AS (
+      SELECT rid, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS k FROM pieces JOIN docs USING (rid) GROUP BY rid)
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(r.removed, 0)::BIGINT AS n_removed, coalesce(r.spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(coalesce(k, x))) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (rid)
+    LEFT JOIN (SELECT rid, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY rid) r USING (rid)"""
+
+
 ORACLES = {"op1_quality": _quality(), "op2_licenses": _licenses(), "op3_mixing": _mixing(),
-           "op4_neighbours": _neighbours(), "op5_warc": _archive()}
+           "op4_neighbours": _neighbours(), "op5_warc": _archive(),
+           "op6_repeats": _repeats(), "op7_katz": _katz()}

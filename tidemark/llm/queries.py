@@ -54,7 +54,8 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(_table(spark, sf_dir, "documents"))
+    out = katz_scores(_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
