@@ -192,8 +192,10 @@ def quality_rules(docs: DataFrame, *, support: float = 0.75, steps: int = 3, min
     middle = _quantile(_distances(vectors, estimate).withColumn("d2", _bin(F.col("d2"))), ["cell"], "d2", 0.5)
     # The median of a chi-square of DIM degrees, by Wilson and Hilferty.
     normal = DIM * (1 - 2 / (9 * DIM)) ** 3
-    scale = middle.select("cell", F.greatest(F.expm1((F.col("d2") + 1) / 32) / 64 / normal, F.lit(1e-3)).alias("scale"))
-    judged = _distances(stats.join(cells, ["lang", "source"], "left"), estimate.join(scale, "cell").select(estimate["*"]))
-    judged = judged.join(scale, "cell", "left").withColumn("distance", F.col("d2") / F.col("scale"))
+    scale = saved(middle.select("cell", F.greatest(F.expm1((F.col("d2") + 1) / 32) / 64 / normal, F.lit(1e-3)).alias(
+        "scale")), "mcd-scale")
+    # Cells, estimates and scales are stored, so Spark knows their sizes and documents are not shuffled to meet them.
+    judged = _distances(stats.join(cells, ["lang", "source"], "left"), estimate).join(scale, "cell", "left")
+    judged = judged.withColumn("distance", F.col("d2") / F.col("scale"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
