@@ -54,7 +54,7 @@ def _induce(s: np.ndarray, small: np.ndarray, leftmost: np.ndarray, sigma: int)
         work_off(c, False, larger)
         for run in given[c]:
             place(run, False)
-    waiting[0].append(np.array([len(s) - 1]))
+    waiting[0].append(np.array([len(s) - 1], dtype=np.int32))
     for c in range(sigma - 1, -1, -1):  # from the right; lower buckets are held in that order
         work_off(c, True, lower)
         for run in reversed(larger[c]):
@@ -85,23 +85,23 @@ def _induce_large(s: np.ndarray, small: np.ndarray, leftmost: np.ndarray, sigma:
             tail[text[p]] -= 1
             out[tail[text[p]]] = p
     out[0] = len(out) - 1
-    return np.array(out, dtype=np.int64)
+    return np.array(out, dtype=np.int32)
 
 
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     """The places of all suffixes in their order. ``s`` ends in a 0 that occurs once; symbols are below ``sigma``."""
     n = len(s)
     if n == 1:
-        return np.zeros(1, dtype=np.int64)
+        return np.zeros(1, dtype=np.int32)
     small = _types(s)
     starts = np.zeros(n, dtype=bool)
     starts[1:] = small[1:] & ~small[:-1]
-    leftmost = np.flatnonzero(starts)
+    leftmost = np.flatnonzero(starts).astype(np.int32)
     induce = _induce if sigma <= 512 else _induce_large
     order = induce(s, small, leftmost, sigma)
     order = order[starts[order]]
     # Names: the substrings from one leftmost smaller place to the next, equal ones alike.
-    next_start = np.empty(n, dtype=np.int64)
+    next_start = np.empty(n, dtype=np.int32)
     next_start[leftmost] = np.append(leftmost[1:], n - 1)
     length = next_start[order] - order + 1
     same = np.zeros(len(order), dtype=bool)
@@ -109,12 +109,12 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     if len(pairs):
         size = length[pairs]
         first = np.cumsum(size) - size
-        within = np.arange(size.sum()) - np.repeat(first, size)
+        within = np.arange(size.sum(), dtype=np.int32) - np.repeat(first.astype(np.int32), size)
         equal = s[np.repeat(order[pairs], size) + within] == s[np.repeat(order[pairs + 1], size) + within]
         same[pairs + 1] = np.logical_and.reduceat(equal, first)
     names = np.cumsum(~same) - 1
     if names[-1] + 1 < len(order):
-        named = np.empty(n, dtype=np.int64)
+        named = np.empty(n, dtype=np.int32)
         named[order] = names
         order = leftmost[suffix_array(named[leftmost], int(names[-1]) + 1)]
     return induce(s, small, order, sigma)
@@ -127,13 +127,13 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     of the place before.
     """
     n = len(s)
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    places = np.arange(n)
+    places = np.arange(n, dtype=np.int32)
     known = (before > 0) & (places > 0)
     known[known] = s[places[known] - 1] == s[before[known] - 1]
     a = np.flatnonzero(~known & (before >= 0))
-    b, length = before[a], np.zeros(len(a), dtype=np.int64)
+    b, length = before[a], np.zeros(len(a), dtype=np.int32)
     padded = np.concatenate([s.astype(np.uint16), np.zeros(4, dtype=np.uint16)])
     four = np.lib.stride_tricks.sliding_window_view(padded, 4).copy().view(np.uint64).reshape(-1)[:n]
     live = np.arange(len(a))
@@ -146,6 +146,6 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
         length[live] += np.where(differ == 0, 4, np.where(lowest < 1 << 16, 0, np.where(
             lowest < 1 << 32, 1, np.where(lowest < 1 << 48, 2, 3))))
         live = live[differ == 0]
-    reach = np.full(n, -1, dtype=np.int64)
+    reach = np.full(n, -1, dtype=np.int32)
     reach[a] = np.minimum(length, n - np.maximum(a, b)) + a
     return np.where(before >= 0, np.maximum(np.maximum.accumulate(reach) - places, 0), 0)

@@ -6,8 +6,9 @@ neighbouring windows mostly share one, so that a text has few anchors (about one
 
 1. Batches of whole texts ask for the number of their anchors' hashes; windows whose anchor is found once are done.
 2. The windows of the other anchors, as runs of bytes, go to shards by the anchors' hashes, each different run once.
-   A shard sorts all suffixes of its runs by induction and computes the permuted common prefixes: a window is
-   repeated if its suffix shares ``length`` bytes with a neighbour in the order, or if its whole run came twice.
+   Runs are trimmed to what they share with others of their anchor; what came twice as a whole is repeated. A shard
+   sorts all suffixes of the different parts left by induction and computes the permuted common prefixes: a window is
+   repeated if its suffix shares ``length`` bytes with a neighbour in the order.
 3. The answers go back to the batches, which remove the covered bytes.
 
 An anchor with more than ``CROWDED`` runs would make a shard too large. Its windows are counted one by one, by
@@ -19,6 +20,7 @@ from __future__ import annotations
 import collections
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +33,11 @@ from tidemark.llm.packing import loosen, loosen_sorted, squeeze, squeeze_sorted
 from tidemark.llm.suffix_arrays import common_prefixes, suffix_array
 
 GRAM = 64
-BATCH = 4 << 20  # bytes of text
+BATCH = 2 << 20  # bytes of text
 PART = 8 << 20  # bytes of text for each part of the tables
-SHARD = 1 << 20  # bytes of runs in one suffix array
+SHARD = 1 << 19  # bytes of runs in one suffix array
 CROWDED = 4096
-STRIDE = 1 << 22  # window starts hashed at once
+STRIDE = 1 << 20  # window starts hashed at once
 
 ANSWER = "t long, p int, kind int, data binary"
 ANSWER_SCHEMA = pa.schema([("t", pa.int64()), ("p", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -72,7 +74,7 @@ def text_batches(docs: DataFrame) -> DataFrame:
 
 
 class Batch:
-    """A batch's bytes, and its runs of windows: ``key`` (the anchor's hash), first and last window start."""
+    """A batch's bytes, and its runs of windows: ``key`` (the anchor's hash), first and last window start, anchor."""
 
     def __init__(self, row: dict, length: int):
         self.sizes = np.array(row["n"], dtype=np.int64)
@@ -82,15 +84,15 @@ class Batch:
         self.length = length
         ends = np.cumsum(self.sizes)
         found = [self._runs(at, min(at + STRIDE, len(data)), ends) for at in range(0, len(data), STRIDE)]
-        self.key, self.first, self.last = (np.concatenate(x) for x in zip(*found)) if found else (
-            np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+        found.append((np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3))
+        self.key, self.first, self.last, self.anchor = (np.concatenate(x) for x in zip(*found))
 
-    def _runs(self, low: int, high: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _runs(self, low: int, high: int, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """Runs of the windows that begin from ``low`` to ``high``."""
         data = self.bytes[low:high + self.length - 1]
         starts = len(data) - self.length + 1
         if starts < 1:
-            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3
         starts = min(starts, high - low)
         grams = _grams(data)
         # The upper bits of a hash, then its place backwards: of equal hashes the rightmost is the least.
@@ -107,7 +109,7 @@ class Batch:
         head += low
         last = np.minimum(last, ends[np.searchsorted(ends, head, side="right")] - self.length)  # windows inside one text
         some = last >= head
-        return grams[at[some]], head[some], last[some]
+        return grams[at[some]], head[some], last[some], low + at[some]
 
     def run(self, i: int) -> bytes:
         return self.data[self.first[i]:self.last[i] + self.length]
@@ -213,28 +215,30 @@ def _repeated(wanted: DataFrame, length: int) -> DataFrame:
     def runs(asked: pa.Table) -> pa.Table:
         blocks = asked.to_pylist()
         keys = np.concatenate([loosen_sorted(b["keys"]) for b in blocks])
+        anchors = np.concatenate([loosen(b["anchors"], "u4") for b in blocks])
         sizes = np.concatenate([loosen(b["sizes"], "u4") for b in blocks]).astype(np.int64)
         times = np.concatenate([loosen(b["times"], "u4") for b in blocks]).astype(np.int64)
         data = b"".join(pa.decompress(b["data"], decompressed_size=b["size"], codec="zstd", asbytes=True) for b in blocks)
         begin = np.cumsum(sizes) - sizes
         number: dict[tuple[int, bytes], int] = {}
         which = np.array([number.setdefault((int(k), data[a:a + n]), len(number)) for k, a, n in zip(keys, begin, sizes)])
-        often = np.bincount(which, weights=times, minlength=len(number)) > 1
-        flags: list[np.ndarray | None] = [None] * len(number)
-        # Two windows of one run differ, as they hold its anchor in different places, so a run without another of its
-        # anchor has nothing to be compared with.
-        alone = collections.Counter(key for key, _ in number)
+        often = np.bincount(which, weights=times, minlength=len(number)).astype(np.int64)
+        anchor = np.empty(len(number), dtype=np.int64)
+        anchor[which] = anchors
+        by_key: dict[int, list[tuple[int, bytes]]] = collections.defaultdict(list)
+        for (key, run), j in number.items():
+            by_key[key].append((j, run))
+        flags = [np.zeros(len(run) - length + 1, dtype=bool) for _, run in number]
         shard, size = [], 0
-        for (key, run), j in sorted(number.items()):  # all runs of an anchor are in one shard
-            if alone[key] == 1:
-                flags[j] = np.full(len(run) - length + 1, often[j])
-                continue
-            if shard and size >= SHARD and key != shard[-1][1]:
-                _flag(shard, flags, often, length)
+        for group in by_key.values():  # all runs of an anchor are in one shard
+            parts = _trimmed(group, anchor, often, flags, length)
+            if len(parts) > 1:
+                shard += parts
+                size += sum(len(part.text) for part in parts)
+            if size >= SHARD:
+                _flag(shard, length)
                 shard, size = [], 0
-            shard.append((j, key, run))
-            size += len(run)
-        _flag(shard, flags, often, length)
+        _flag(shard, length)
         out, at = [], 0
         for b in blocks:
             n = len(loosen(b["sizes"], "u4"))
@@ -264,25 +268,83 @@ def _repeated(wanted: DataFrame, length: int) -> DataFrame:
     return saved(wanted.groupBy("p", "kind").applyInArrow(answer, ANSWER), "repeats")
 
 
-def _flag(shard: list[tuple[int, int, bytes]], flags: list, often: np.ndarray, length: int) -> None:
-    """Which windows of a shard's runs are found at another place of the shard, or all of a run that came twice."""
+class Part(NamedTuple):
+    """What a run shares with others of its anchor, and the flags of its windows in each run that has it."""
+
+    text: bytes
+    flags: list[np.ndarray]
+
+
+def _shared(a: bytes, b: bytes) -> int:
+    """The length of the common prefix."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def _longest_shared(texts: list[bytes]) -> list[int]:
+    """For each text the longest prefix it shares with another one: with a neighbour in their order."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out = [0] * len(texts)
+    for a, b in zip(order, order[1:]):
+        n = _shared(texts[a], texts[b])
+        out[a], out[b] = max(out[a], n), max(out[b], n)
+    return out
+
+
+def _trimmed(group: list[tuple[int, bytes]], anchor: np.ndarray, times: np.ndarray, flags: list[np.ndarray],
+             length: int) -> list[Part]:
+    """The different parts of an anchor's runs that may hold repeated windows; flags what is repeated for certain.
+
+    A repeated window holds the anchor in the same place as its equal, so it lies in what its run shares with other
+    runs to the left and to the right of the anchor. A run, or such a part of several, that came twice is repeated as
+    a whole; two windows of one run differ, as they hold the anchor in different places.
+    """
+    for j, _ in group:
+        if times[j] > 1:
+            flags[j][:] = True
+    if len(group) == 1:
+        return []
+    at = [int(anchor[j]) for j, _ in group]
+    left = _longest_shared([run[a - 1::-1] if a else b"" for a, (_, run) in zip(at, group)])
+    right = _longest_shared([run[a:] for a, (_, run) in zip(at, group)])
+    parts: dict[tuple[int, bytes], list[np.ndarray]] = collections.defaultdict(list)
+    for a, b, c, (j, run) in zip(at, left, right, group):
+        if b + c >= length:
+            parts[b, run[a - b:a + c]].append(flags[j][a - b:a + c - length + 1])
+    for own in parts.values():
+        if len(own) > 1:
+            for some in own:
+                some[:] = True
+    return [Part(text, own) for (_, text), own in parts.items()]
+
+
+def _flag(shard: list[Part], length: int) -> None:
+    """Flag the windows of a shard's parts that are found at another place of the shard."""
     if not shard:
         return
-    text = np.frombuffer(b"\x00".join(run for _, _, run in shard) + b"\x00", np.uint8).astype(np.int64) + 2
+    text = np.frombuffer(b"\x00".join(part.text for part in shard) + b"\x00", np.uint8).astype(np.int32) + 2
     at = 0
-    for _, _, run in shard:
-        text[at + len(run)] = 1  # no window reaches over the end of its run
-        at += len(run) + 1
-    text = np.append(text, 0)
+    for part in shard:
+        text[at + len(part.text)] = 1  # no window reaches over the end of its part
+        at += len(part.text) + 1
+    text = np.append(text, np.int32(0))
     order = suffix_array(text, 258)
     shared = common_prefixes(text, order)
     hit = shared >= length
     hit[order[:-1]] |= shared[order[1:]] >= length
     at = 0
-    for j, _, run in shard:
-        n = len(run) - length + 1
-        flags[j] = np.ones(n, dtype=bool) if often[j] else hit[at:at + n]
-        at += len(run) + 1
+    for part in shard:
+        for own in part.flags:
+            own |= hit[at:at + len(own)]
+        at += len(part.text) + 1
 
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
@@ -301,28 +363,31 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     tallies = _tallies(batches, length, parts)
     by_batch = batches.groupBy("t")
     kinds = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("t", pa.int64()), ("keys", pa.binary()),
-                       ("sizes", pa.binary()), ("times", pa.binary()), ("data", pa.binary()), ("size", pa.int64())])
+                       ("sizes", pa.binary()), ("anchors", pa.binary()), ("times", pa.binary()), ("data", pa.binary()),
+                       ("size", pa.int64())])
 
     def want(batch: pa.Table, said: pa.Table) -> pa.Table:
         rows = []
         for row in batch.to_pylist():
             own = Wanted(Batch(row, length), said)
             keys = own.batch.key[own.runs] if own.runs else np.empty(0, np.uint64)
+            offsets = (own.batch.anchor - own.batch.first)[own.runs] if own.runs else np.empty(0, np.int64)
             for p, part in enumerate(np.split(np.arange(len(keys)), _ranges(keys, parts))):
                 if len(part):
                     runs = [own.batch.run(own.runs[i]) for i in part]
                     data = b"".join(runs)
                     rows.append((p, RUNS, row["t"], squeeze_sorted(keys[part]), squeeze(np.array(list(map(len, runs)), np.uint32)),
+                                 squeeze(offsets[part].astype(np.uint32)),
                                  squeeze(np.array(own.times, np.uint32)[part]), pa.compress(data, codec="zstd", asbytes=True), len(data)))
             for p, part in enumerate(np.split(np.arange(len(own.high)), _ranges(own.high, parts))):
                 if len(part):
-                    rows.append((p, DIGESTS, row["t"], squeeze_sorted(own.high[part]), None,
+                    rows.append((p, DIGESTS, row["t"], squeeze_sorted(own.high[part]), None, None,
                                  squeeze(own.digest_times[part].astype(np.uint32)), squeeze(own.low[part]), 0))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)] if rows else [pa.array([], f.type) for f in kinds],
                         schema=kinds)
 
     wanted = by_batch.cogroup(tallies.groupBy("t")).applyInArrow(
-        want, "p int, kind int, t long, keys binary, sizes binary, times binary, data binary, size long")
+        want, "p int, kind int, t long, keys binary, sizes binary, anchors binary, times binary, data binary, size long")
     said = tallies.unionByName(_repeated(wanted, length))
     result = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
