@@ -187,7 +187,8 @@ def personal_data(docs: DataFrame, columns: list[str] | None = None, *, rounds:
     more = places.where("kind < 0").select("rid", "start", "end", F.explode("patterns").alias("pattern")).join(
         learnt.withColumnRenamed("kind", "k"), "pattern").groupBy("rid", "start", "end").agg(best.alias("best"))
     more = more.select("rid", F.struct((len(BASE_KINDS) - F.col("best.k")).alias("kind"), "start", "end").alias("s"))
-    more = more.groupBy("rid").agg(F.collect_list("s").alias("more"))  # no more than a text has words
+    # No more than a text has words. Stored, so Spark knows the size and moves no texts to meet a small table.
+    more = saved(more.groupBy("rid").agg(F.collect_list("s").alias("more")), "personal-contexts")
     spans = F.concat("spans", F.coalesce("more", F.array().cast("array<struct<kind: int, start: int, end: int>>")))
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
                                                                   s["end"].alias("end"))))
