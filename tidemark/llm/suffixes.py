@@ -109,7 +109,9 @@ class Batch:
         head += low
         last = np.minimum(last, ends[np.searchsorted(ends, head, side="right")] - self.length)  # windows inside one text
         some = last >= head
-        return grams[at[some]], head[some], last[some], low + at[some]
+        key = grams[at[some]]  # least ones, so all are small; spread over all values again, one to one
+        key = (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        return key, head[some], last[some], low + at[some]
 
     def run(self, i: int) -> bytes:
         return self.data[self.first[i]:self.last[i] + self.length]
