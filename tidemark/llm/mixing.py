@@ -58,14 +58,46 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], temperature: fl
     return out
 
 
+def unclipped(raked: DataFrame, slack: float) -> float:
+    """The largest factor at which cells that would be drawn more than whole lose at most ``slack`` of the weight.
+
+    Every marginal share is then within ``slack / (1 - slack)`` of its target. What is lost is convex in the factor's inverse, so
+    Newton's steps from zero come from one side and end once the set of such cells stays the same.
+    """
+    inverse = 0.0
+    while True:
+        over = F.col("weight") > F.col("tokens") * F.lit(inverse)
+        weight, tokens = raked.agg(F.sum(F.when(over, F.col("weight"))), F.sum(F.when(over, F.col("tokens"))).cast("double")).first()
+        if not tokens or not (new := (weight - slack) / tokens) > inverse * (1 + 1e-12):
+            return 1 / inverse if inverse else 0.0
+        inverse = new
+
+
+def marginals(mixed: DataFrame) -> DataFrame:
+    """``dimension, value, share, target, expected, drawn`` of what ``mix`` returns: shares of all tokens, as wanted
+    (the raked weights), as expected from the probabilities, and of the documents drawn."""
+    cells = mixed.groupBy(*DIMENSIONS).agg(
+        F.sum("n_tokens").alias("t"), F.max("weight").alias("w"), F.sum(F.col("n_tokens") * F.col("probability")).alias("e"),
+        F.sum(F.when(F.col("sampled"), F.col("n_tokens")).otherwise(0)).alias("d"))
+    sums = saved(cells.select("t", "w", "e", "d", F.explode(F.array(*[F.struct(
+        F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])).alias("m")).groupBy(
+        "m.dimension", "m.value").agg(*[F.sum(c).cast("double").alias(c) for c in "twed"]), "mixing-marginals")
+    totals = sums.groupBy("dimension").agg(*[F.sum(c).alias(f"all_{c}") for c in "twed"])
+    shares = (("t", "share"), ("w", "target"), ("e", "expected"), ("d", "drawn"))
+    return sums.join(totals, "dimension").select("dimension", "value", *[
+        (F.col(c) / F.when(F.col(f"all_{c}") > 0, F.col(f"all_{c}"))).alias(name) for c, name in shares])
+
+
 def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None, temperature: float = 0.7,
-        budget: float = 0.9, rounds: int = 8, seed: int = 7, topic: Column | None = None,
+        budget: float | None = 0.9, slack: float = 0.01, rounds: int = 8, seed: int = 7, topic: Column | None = None,
         columns: list[str] | None = None) -> DataFrame:
     """Documents (``row``: ``columns`` or all) with ``source, lang, topic, n_tokens, weight, probability, sampled``.
 
     ``targets`` gives shares by dimension and value; a dimension without targets gets its tokens to the power
     ``temperature``. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
-    are too small for their weight are drawn whole and the others make up for them. Null sources and languages form cells of
+    are too small for their weight are drawn whole and the others make up for them: a budget near 1 leaves the
+    marginals where they were. Without a budget (None) it is the largest one that such cells cut by at most
+    ``slack`` of the weight; ``marginals`` shows what is met. Null sources and languages form cells of
     their own (shown as ``""``); a null text is empty, and a document without words has no tokens and is never
     drawn. Repeated rows share one draw, as the draw depends on the id (a null one counts as ``""``).
     """
@@ -82,7 +114,9 @@ def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None,
     raked = rake(cells, targets or {}, temperature, rounds)
     ratio = F.col("weight") / F.col("tokens")
     factor, total = 0.0, raked.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
-    for _ in range(rounds):  # cells drawn whole leave the others a larger factor, until none joins them
+    if budget is None:
+        factor = unclipped(raked, slack)
+    for _ in range(rounds if budget is not None else 0):  # cells drawn whole leave the others a larger factor, until none joins them
         full = ratio * factor >= 1
         have, rest = raked.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).cast("double"),
                                F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
