@@ -33,6 +33,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARKS = re.compile("[0-9@]")
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: A word of digit groups; and such words, each joined by a single space, as long as whole words go on.
+GROUPS = re.compile(r"[+(\[]*[0-9]+(?:[()\[\].-]{1,3}[0-9]+)*[)\]]?")
+RUN = re.compile(GROUPS.pattern + r"(?:\x20[(\[]*[0-9]++(?:[()\[\].-]{1,3}[0-9]++)*+[)\]]?(?![^\s\"'`()\[\]{}<>,;!?.*#$%&|]))*+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EDGE = "\"'`()[]{}<>,;!?.*#$%&|"
 
@@ -81,8 +84,9 @@ def _shape(value: str) -> str:
 
 
 def slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """``(kind or -1, start, end, value, patterns)``: the spans, and other words with a digit or an @.
+    """``(kind or -1, start, end, value, patterns)``: the spans, and other words with a digit or an @, of any length.
 
+    Groups of digits joined by single spaces, hyphens, dots or brackets are one place as long as they go on.
     Patterns: the two words before; the word on either side; the word before and the value's shape.
     Digits in these words are made alike.
     """
@@ -96,20 +100,30 @@ def slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
         if i < len(ends) and ends[i][0] <= p:
             at = ends[i][1]
             continue
-        low = ends[i - 1][1] if i else 0
+        low = max(ends[i - 1][1] if i else 0, at)
+        high = ends[i][0] if i < len(ends) else len(text)
         start = p
         while start > low and not SPACE.match(text, start - 1):
             start -= 1
-        found = SPACE.search(text, p)
-        end = min(found.start() if found else len(text), ends[i][0] if i < len(ends) else len(text))
-        word = text[start:end]
-        start, end = start + len(word) - len(word.lstrip(EDGE)), end - (len(word) - len(word.rstrip(EDGE)))
-        if end - start >= 6:
+        found = SPACE.search(text, p, high)
+        end = found.start() if found else high
+        start, end = _trimmed(text, start, end)
+        if start < end and GROUPS.fullmatch(text, start, end):
+            end = RUN.match(text, start, high).end()
+        if MARKS.search(text, start, end):
             places.append((-1, start, end))
         at = max(end, p + 1)
     return [(k, a, b, text[a:b], _patterns(text, a, b)) for k, a, b in places]
 
 
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """Without marks at the edges, but with a bracket around the first group of digits."""
+    word = text[start:end]
+    left, right = start + len(word) - len(word.lstrip(EDGE)), end - (len(word) - len(word.rstrip(EDGE)))
+    bracket = left > start and text[left - 1] in "([" and any(c in ")]" for c in text[left:end])
+    return left - bracket, max(left, right)
+
+
 def _alike(word: str) -> str:
     return re.sub("[0-9]+", "0", word.encode().lower().decode().strip("\"'`()[]{}<>,;!?.*"))
 
