@@ -27,6 +27,7 @@ from tidemark.llm.common import saved
 from tidemark.session import work_path
 
 PIECE = 1 << 20
+VERSION = 1 << 16  # a longer first line is none; other header lines have any length
 GZIP = 31  # zlib's code for gzip headers
 MANIFEST = "path string, n_records long, n_bytes long"
 INDEX = "path string, offset long, length long, record_id string, record_type string, problem string"
@@ -125,11 +126,14 @@ class Inflated:
         self.buffer += self.gz.decompress(data, PIECE)
         return True
 
-    def line(self, most: int = 1 << 16) -> bytes:
-        at = -1
-        while (at := self.buffer.find(b"\n")) < 0 and len(self.buffer) < most and self._fill():
-            pass
-        if at < 0 and len(self.buffer) >= most:
+    def line(self, most: int | None = None) -> bytes:
+        """The next line, however long; an error if it has ``most`` bytes or more."""
+        at = seen = 0
+        while (at := self.buffer.find(b"\n", seen)) < 0 and (most is None or len(self.buffer) < most):
+            seen = len(self.buffer)
+            if not self._fill():
+                break
+        if most is not None and (at if at >= 0 else len(self.buffer)) >= most:
             raise ValueError("a header line is too long")
         out = bytes(self.buffer[:at + 1] if at >= 0 else self.buffer)
         del self.buffer[:len(out)]
@@ -148,9 +152,9 @@ class Inflated:
 
 def read_head(stream: Inflated) -> tuple[bytes, dict[str, str]] | None:
     """The next record's header as it is and by lower-case name; None at the end."""
-    raw = stream.line()
+    raw = stream.line(VERSION)
     while raw in (b"\r\n", b"\n"):
-        raw = stream.line()
+        raw = stream.line(VERSION)
     if not raw:
         return None
     if not raw.startswith(b"WARC/"):
@@ -260,8 +264,20 @@ def read_records(index: DataFrame) -> DataFrame:
     return index.where("problem IS NULL").select("path", "offset", "length").mapInArrow(read, schema)
 
 
+def checked(index: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The index, if it has every record that the manifest counts and no problem; an error otherwise."""
+    written = manifest.agg(F.sum("n_records")).first()[0] or 0
+    found, problems, one = index.agg(F.count(F.when(F.col("problem").isNull(), 1)), F.count("problem"), F.min("problem")).first()
+    if problems or found != written:
+        raise ValueError(f"{written} records were written, {found} were found, {problems} archives are damaged: {one}")
+    return index
+
+
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write pages as records, normalise the archives, and read every record back through the index."""
+    """Write pages as records, normalise the archives, and read every record back through the index.
+
+    Raises if an archive can't be read to its end or holds other than the records written.
+    """
     folder = work_path(pages.sparkSession, "warc")
     manifest = write_archives(records(pages, min_bytes), f"{folder}/whole")
-    return read_records(normalise(manifest, f"{folder}/members"))
+    return read_records(checked(normalise(manifest, f"{folder}/members"), manifest))
