@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tidemark.llm.common import UPPER
 from tidemark.llm.katz import SEEN, TURING
 from tidemark.llm.license_texts import PHRASES, TEMPLATES
 from tidemark.llm.quality import COMPONENTS, DIM
+from tidemark.llm.spelling import DELETED, FACTOR, LEAST_COUNT, LEAST_LENGTH
 
 GAP = r"[ \t-\r]+"
 
@@ -260,6 +262,61 @@ def _repeats(length: int = 200) -> str:
     LEFT JOIN (SELECT rid, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY rid) r USING (rid)"""
 
 
+def _page_text() -> str:
+    """The pages of the given tables hold one article each, and only a few tags and character references."""
+    references = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&#x27;": "''", "&amp;": "&"}
+    decoded = "b"
+    for name, char in references.items():
+        decoded = f"replace({decoded}, '{name}', '{char}')"
+    return f"""WITH p AS (
+      SELECT row_number() OVER () AS rid, page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS a FROM pages),
+    q AS (
+      SELECT rid, unnest(b) AS b, generate_subscripts(b, 1) AS i
+      FROM (SELECT rid, regexp_split_to_array(regexp_replace(replace(a, '<br>', ' '), '</?[bi]>', '', 'g'), '<[^>]*>') AS b FROM p)),
+    t AS (SELECT rid, i, trim(regexp_replace({decoded}, '[ \t\r\n]+', ' ', 'g')) AS b FROM q),
+    j AS (SELECT rid, string_agg(b, chr(10) ORDER BY i) AS text FROM t WHERE b <> '' GROUP BY rid)
+    SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM p LEFT JOIN j USING (rid)"""
+
+
+def _spelling() -> str:
+    """Near words by a join on what is left when one character of each is taken out."""
+    upper = UPPER
+    return f"""WITH RECURSIVE polynomial AS MATERIALIZED (
+      SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))) AS t),
+    runs AS MATERIALIZED (
+      SELECT coalesce(doc_id::VARCHAR, '') AS k, w, count(*) AS c FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[A-Za-zÀ-ÿ]+')) AS w
+        FROM documents) WHERE length(w) >= {LEAST_LENGTH} GROUP BY ALL),
+    hashed AS MATERIALIZED (
+      SELECT w, c, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k || ':' || w, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))),
+        lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM runs, polynomial),
+    words AS MATERIALIZED (
+      SELECT w AS word, sum(c)::BIGINT AS n FROM (
+        SELECT c, CASE WHEN h % {DELETED} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w FROM hashed)
+      WHERE length(w) >= {LEAST_LENGTH} GROUP BY w HAVING sum(c) >= {LEAST_COUNT}),
+    less AS MATERIALIZED (
+      SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS MATERIALIZED (
+      SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT l.word, l.n, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+      UNION SELECT w.word, w.n, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+    best AS (
+      SELECT word, n_near, other, other_n FROM (
+        SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+          row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS r FROM pairs) WHERE r = 1),
+    forms AS MATERIALIZED (
+      SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {FACTOR} * w.n THEN other END AS form,
+        CASE WHEN other_n >= {FACTOR} * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+    chain AS (
+      SELECT word, word AS root FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+    roots AS (SELECT word, arg_max(root, n) AS root FROM chain JOIN (SELECT word AS root, n FROM words) USING (root) GROUP BY word)
+    SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
 ORACLES = {"op1_quality": _quality(), "op2_licenses": _licenses(), "op3_mixing": _mixing(),
            "op4_neighbours": _neighbours(), "op5_warc": _archive(),
-           "op6_repeats": _repeats(), "op7_katz": _katz()}
+           "op6_repeats": _repeats(), "op7_katz": _katz(),
+           "op12_page_text": _page_text(), "op13_spelling": _spelling()}

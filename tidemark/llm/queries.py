@@ -9,13 +9,16 @@ from tidemark.llm.katz import katz_scores
 from tidemark.llm.licenses import license_labels
 from tidemark.llm.mixing import DIMENSIONS, mix
 from tidemark.llm.oracles import ORACLES  # noqa: F401
+from tidemark.llm.page_text import page_texts
 from tidemark.llm.pii import BASE_KINDS, personal_data, written
 from tidemark.llm.pieces import encode_documents
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.suffixes import remove_repeats
 from tidemark.llm.vectors import index, nearest
 from tidemark.llm.warc import archive_pages
+from tidemark.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +82,20 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "ids", "n_ids", "n_bytes", "exact")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten(_table(spark, sf_dir, "embeddings"), columns=["vec_id"])
+    return out.select("row.vec_id", *[c for c in out.columns if c != "row"])
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = page_texts(_table(spark, sf_dir, "pages"), columns=["page_id", "url"])
+    return out.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -90,4 +107,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_personal_data": op9_personal_data,
     "op10_pieces": op10_pieces,
+    "op11_whitening": op11_whitening,
+    "op12_page_text": op12_page_text,
+    "op13_spelling": op13_spelling,
 }
