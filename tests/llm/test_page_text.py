@@ -93,7 +93,8 @@ def test_articles_without_tags_of_their_own():
     assert kept("<nav>menu<p>more</nav>text") == ["text"]
     assert kept("a<script>never closed <p>b</p>") == ["a"]
     assert kept("a<textarea><p>b</textarea>c") == ["ac"]
-    assert kept("<a b='x>y' \">text") == [] and kept("x <3 y </ z> <1> & &copy &unknown;") == ["x <3 y <1> & © &unknown;"]
+    assert kept("<a b='x>y' \">text") == ["text"] and kept("<p title=\"a>b\" x='>'>text <b") == ["text"]
+    assert kept("x <3 y </ z> <1> & &copy &unknown;") == ["x <3 y <1> & © &unknown;"]
     assert kept("") == [] and kept("<div> \n </div>") == []
 
 

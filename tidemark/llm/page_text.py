@@ -67,7 +67,7 @@ COMMENT = frozenset("comment comments reply replies ad ads advert promo sponsore
 FIRM_NAMES = frozenset("comment comments reply replies disqus respond related recommended recommendations".split())
 
 ATTRIBUTES = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-TAG_END = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+>")
+TAG_END = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|))*+>")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORDS = re.compile(r"[A-Za-z][a-z]+|[A-Z]+")
 
@@ -92,7 +92,7 @@ class _Element:
 
 def _tokens(source: str):
     """``(kind, name or text, attributes)``; kinds are text, open and end. Time is linear in the source."""
-    at, end, quoted, shut = 0, len(source), True, {}
+    at, end, shut = 0, len(source), {}
     while at < end:
         left = source.find("<", at)
         if left < 0:
@@ -108,11 +108,10 @@ def _tokens(source: str):
             close = source.find(">", left)
             at = end if close < 0 else close + 1
         elif follows.isascii() and follows.isalpha() or follows == "/":
-            found = TAG_END.match(source, left + 1) if quoted else None
-            quoted = found is not None
-            close = found.end() if found else source.find(">", left) + 1
-            if not close:
+            found = TAG_END.match(source, left + 1)
+            if not found:
                 return  # a tag that never ends
+            close = found.end()
             name = NAME.match(source, left + 1 + (follows == "/"))
             at, tag = close, name.group().lower()
             if follows == "/":
