@@ -284,35 +284,48 @@ def host(url: Column) -> Column:
     return F.when(name != "", name)
 
 
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
 def page_texts(pages: DataFrame, *, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE,
                columns: list[str] | None = None) -> DataFrame:
     """``row, text, n_blocks, n_template, n_marked`` for each page: its main text, blocks joined by line ends.
 
     ``n_template`` blocks were deleted as the site's template, ``n_marked`` others by what their elements say they are.
     A null page is an empty one, with an empty text. Pages without a host are of no site: nothing of them counts as
-    template. Repeated rows are rows of their own; copies of one article count as one page of their host.
-    ``row`` has the columns named, or all.
+    template. Repeated rows are rows of their own, but identical pages of a host count as one of it, and copies of one
+    article as one content. ``row`` has the columns named, or all.
+
+    Pages are parsed twice: for the elements that are counted, which are stored, and for the texts. Storing the texts
+    would take as much disk as moving them to the elements found.
     """
-    @pandas_udf("struct<blocks: binary, marked: array<boolean>, elements: array<struct<h: long, first: int, end: int>>, key: long>")
-    def parsed(sources: pd.Series) -> pd.DataFrame:
+    @pandas_udf("struct<elements: array<struct<h: long, first: int, end: int>>, key: long>")
+    def counted_parts(sources: pd.Series) -> pd.DataFrame:
+        found = [parse(source) for source in sources]
+        return pd.DataFrame({"elements": [[(_signed(h), a, b) for h, a, b in page.elements] for page in found],
+                             "key": [_signed(page.key) for page in found]})
+
+    @pandas_udf("struct<blocks: binary, marked: array<boolean>>")
+    def text_parts(sources: pd.Series) -> pd.DataFrame:
         out = []
         for source in sources:
             page = parse(source)
             data = "\n".join(page.blocks).encode("utf-8", "replace")
-            elements = [(h - (1 << 64) if h >> 63 else h, a, b) for h, a, b in page.elements]
-            out.append((len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True), page.marked, elements,
-                        page.key - (1 << 64) if page.key >> 63 else page.key))
-        return pd.DataFrame(out, columns=["blocks", "marked", "elements", "key"])
-
-    row = F.struct(*[pages[f"`{c}`"] for c in (columns or pages.columns)]).alias("row")
-    rows = pages.select(row, host(pages["url"]).alias("host"), parsed(whole(pages["html"])).alias("p"))
-    rows = saved(rows.select(F.monotonically_increasing_id().alias("rid"), "row", "host", "p.*"), "page-blocks")
-    seen = rows.where("host IS NOT NULL").select("rid", "host", "key", F.posexplode("elements").alias("at", "e"))
-    seen = seen.select("rid", "at", F.xxhash64("host", "e.h").alias("subtree"), "key")
-    per_key = seen.select("rid", "subtree", "key").distinct().groupBy("subtree", "key").agg(F.count(F.lit(1)).alias("pages"))
+            out.append((len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True), page.marked))
+        return pd.DataFrame(out, columns=["blocks", "marked"])
+
+    site, source = host(pages["url"]), whole(pages["html"])
+    page_key = F.unhex(F.md5(F.concat(F.coalesce(site, F.lit("")), F.lit("\n"), source))).alias("page")
+    parts = saved(pages.where(site.isNotNull()).select(page_key, site.alias("host"), counted_parts(source).alias("p")).select(
+        "page", "host", "p.*"), "page-elements")
+    seen = parts.select("page", "host", "key", F.inline("elements"))
+    seen = seen.select("page", F.xxhash64("host", "h").alias("subtree"), "key", "first", "end")
+    per_key = seen.select("page", "subtree", "key").distinct().groupBy("subtree", "key").agg(F.count(F.lit(1)).alias("pages"))
     counted = per_key.groupBy("subtree").agg(F.count(F.lit(1)).alias("contents"), F.sum("pages").alias("pages"))
     template = counted.where((F.col("contents") >= least_pages) & (F.col("contents") >= least_share * F.col("pages")))
-    hits = seen.join(template.select("subtree"), "subtree").groupBy("rid").agg(F.collect_list("at").alias("hits"))
+    hits = seen.join(template.select("subtree"), "subtree").groupBy("page").agg(
+        F.collect_set(F.struct("first", "end")).alias("hits"))
 
     @pandas_udf("struct<text: string, n_blocks: long, n_template: long, n_marked: long>")
     def kept(blocks: pd.Series, marked: pd.Series, first: pd.Series, end: pd.Series) -> pd.DataFrame:
@@ -326,8 +339,6 @@ def page_texts(pages: DataFrame, *, least_pages: int = LEAST_PAGES, least_share:
                         sum(bool(m) and not g for m, g in zip(flags, gone))))
         return pd.DataFrame(out, columns=["text", "n_blocks", "n_template", "n_marked"])
 
-    def places(field: str) -> Column:
-        return F.transform("hits", lambda i: F.get("elements", i)[field])
-
-    joined = rows.join(hits, "rid", "left")
-    return joined.select("row", kept("blocks", "marked", places("first"), places("end")).alias("k")).select("row", "k.*")
+    row = F.struct(*[pages[f"`{c}`"] for c in (columns or pages.columns)]).alias("row")
+    rows = pages.select(row, page_key, text_parts(source).alias("p")).join(hits, "page", "left")
+    return rows.select("row", kept("p.blocks", "p.marked", "hits.first", "hits.end").alias("k")).select("row", "k.*")
