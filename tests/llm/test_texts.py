@@ -57,7 +57,7 @@ def test_outliers_are_rejected_and_others_stay(spark):
 
 def test_marginals_meet_targets(spark):
     made = [(i, prose(i, 100), ("en", "de")[i % 4 == 0], ("a", "b", "c")[i % 3]) for i in range(240)]
-    out = mix(spark.createDataFrame(made, "doc_id long, text string, lang string, source string"), rounds=20, budget=0.2,
+    out = mix(spark.createDataFrame(made, "doc_id long, text string, lang string, source string"), budget=0.2,
               targets={"lang": {"en": 0.5, "de": 0.5}, "source": {"a": 0.6}}, topic=F.lit("one"))
     got = out.withColumn("t", F.col("probability") * F.col("n_tokens")).toPandas()
     assert got.groupby("lang")["t"].sum().div(got["t"].sum())["de"] == pytest.approx(0.5, abs=1e-3)

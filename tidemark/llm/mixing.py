@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import let, packed, saved, space_words, whole
 
 DIMENSIONS = ("source", "lang", "topic")
+TOLERANCE = 1e-11  # of each marginal, relative to its target
+PATIENCE = 5  # pairs of rounds in which the error has to fall by a tenth
 
 
 def register(text: Column, n_words: Column) -> Column:
@@ -43,19 +45,42 @@ def _targets(cells: DataFrame, dim: str, given: dict[str, float] | None, tempera
     return sums.join(F.broadcast(total)).select(dim, (F.col("raw") / F.col("all")).alias(f"{dim}_share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]], temperature: float, rounds: int) -> DataFrame:
-    """Cells with ``weight``: their share of all tokens once every marginal fits its targets."""
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]], temperature: float, tolerance: float = TOLERANCE) -> DataFrame:
+    """Cells with ``weight``: their share of all tokens once every marginal fits its targets within the tolerance.
+
+    Raises ``ValueError`` if a value with a target has no tokens, or if the marginals stop coming nearer to the
+    targets: cells without tokens can make targets that hold each by itself impossible together.
+    """
+    for dim, given in targets.items():
+        have = {r[0] for r in cells.where(F.col(dim).isin(*given)).select(dim).distinct().collect()}  # at most the values named
+        missing = [v for v, share in given.items() if share > 0 and v not in have]
+        if missing and not cells.isEmpty():
+            raise ValueError(f"no tokens of {dim} {', '.join(map(repr, sorted(missing)))}, which has a target")
     total = cells.agg(F.sum("tokens").cast("double").alias("total"))  # one row
     out = cells.join(F.broadcast(total)).withColumn("weight", F.col("tokens") / F.col("total")).drop("total")
     for dim in DIMENSIONS:
         out = out.join(_targets(cells, dim, targets.get(dim), temperature), dim)
-    for i in range(rounds):
-        for dim in DIMENSIONS:
+    errors: list[float] = []
+    while True:
+        for dim in (*DIMENSIONS, *DIMENSIONS):
             has = F.sum("weight").over(Window.partitionBy(dim))
-            out = out.withColumn("weight", F.col("weight") * F.col(f"{dim}_share") / has)
-        if i % 2:
-            out = saved(out, "raked")
-    return out
+            out = out.withColumn("weight", F.when(has > 0, F.col("weight") * F.col(f"{dim}_share") / has).otherwise(0.0))
+        out = saved(out, "raked")
+        errors.append(residual(out))
+        if errors[-1] <= tolerance:
+            return out
+        if len(errors) > PATIENCE and errors[-1] > 0.9 * errors[-1 - PATIENCE]:
+            raise ValueError(f"the targets can't be met together: after {2 * len(errors)} rounds a marginal is still "
+                             f"{errors[-1]:.3g} of its target away")
+
+
+def residual(raked: DataFrame) -> float:
+    """The largest error of a marginal, relative to its target."""
+    worst = 0.0
+    for dim in DIMENSIONS:
+        sums = raked.groupBy(dim).agg(F.sum("weight").alias("has"), F.first(f"{dim}_share").alias("share"))
+        worst = max(worst, sums.where("share > 0").agg(F.max(F.abs(F.col("has") / F.col("share") - 1))).first()[0] or 0.0)
+    return worst
 
 
 def unclipped(raked: DataFrame, slack: float) -> float:
@@ -73,28 +98,35 @@ def unclipped(raked: DataFrame, slack: float) -> float:
         inverse = new
 
 
-def marginals(mixed: DataFrame) -> DataFrame:
-    """``dimension, value, share, target, expected, drawn`` of what ``mix`` returns: shares of all tokens, as wanted
-    (the raked weights), as expected from the probabilities, and of the documents drawn."""
+def marginals(mixed: DataFrame, targets: dict[str, dict[str, float]] | None = None, temperature: float = 0.7) -> DataFrame:
+    """``dimension, value, share, asked, target, expected, drawn`` of what ``mix`` returns for the same targets: shares of
+    all tokens, as asked for, as raked, as expected from the probabilities, and of the documents drawn."""
     cells = mixed.groupBy(*DIMENSIONS).agg(
         F.sum("n_tokens").alias("t"), F.max("weight").alias("w"), F.sum(F.col("n_tokens") * F.col("probability")).alias("e"),
         F.sum(F.when(F.col("sampled"), F.col("n_tokens")).otherwise(0)).alias("d"))
     sums = saved(cells.select("t", "w", "e", "d", F.explode(F.array(*[F.struct(
         F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])).alias("m")).groupBy(
         "m.dimension", "m.value").agg(*[F.sum(c).cast("double").alias(c) for c in "twed"]), "mixing-marginals")
+    tokens = saved(cells.where("t > 0").withColumnRenamed("t", "tokens"), "mixing-marginal-cells")
+    asked = None
+    for d in DIMENSIONS:
+        part = _targets(tokens, d, (targets or {}).get(d), temperature).select(
+            F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col(f"{d}_share").alias("asked"))
+        asked = part if asked is None else asked.unionByName(part)
     totals = sums.groupBy("dimension").agg(*[F.sum(c).alias(f"all_{c}") for c in "twed"])
     shares = (("t", "share"), ("w", "target"), ("e", "expected"), ("d", "drawn"))
-    return sums.join(totals, "dimension").select("dimension", "value", *[
-        (F.col(c) / F.when(F.col(f"all_{c}") > 0, F.col(f"all_{c}"))).alias(name) for c, name in shares])
+    shown = [(F.col(c) / F.when(F.col(f"all_{c}") > 0, F.col(f"all_{c}"))).alias(name) for c, name in shares]
+    return sums.join(totals, "dimension").join(asked, ["dimension", "value"], "left").select(
+        "dimension", "value", shown[0], F.coalesce("asked", F.lit(0.0)).alias("asked"), *shown[1:])
 
 
 def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None, temperature: float = 0.7,
-        budget: float | None = 0.9, slack: float = 0.01, rounds: int = 8, seed: int = 7, topic: Column | None = None,
+        budget: float | None = 0.9, slack: float = 0.01, tolerance: float = TOLERANCE, seed: int = 7, topic: Column | None = None,
         columns: list[str] | None = None) -> DataFrame:
     """Documents (``row``: ``columns`` or all) with ``source, lang, topic, n_tokens, weight, probability, sampled``.
 
     ``targets`` gives shares by dimension and value; a dimension without targets gets its tokens to the power
-    ``temperature``. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
+    ``temperature``. Targets that can't be met raise. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
     are too small for their weight are drawn whole and the others make up for them: a budget near 1 leaves the
     marginals where they were. Without a budget (None) it is the largest one that such cells cut by at most
     ``slack`` of the weight; ``marginals`` shows what is met. Null sources and languages form cells of
@@ -111,12 +143,12 @@ def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None,
     stats = saved(stats.select(F.struct(*[F.col("row").getField(c).alias(c) for c in columns or docs.columns])
                                .alias("row"), "id", *DIMENSIONS, "n_tokens"), "mixing-tokens")
     cells = saved(stats.where("n_tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    raked = rake(cells, targets or {}, temperature, rounds)
+    raked = rake(cells, targets or {}, temperature, tolerance)
     ratio = F.col("weight") / F.col("tokens")
     factor, total = 0.0, raked.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     if budget is None:
         factor = unclipped(raked, slack)
-    for _ in range(rounds if budget is not None else 0):  # cells drawn whole leave the others a larger factor, until none joins them
+    while budget is not None:  # cells drawn whole leave the others a larger factor, until none joins them
         full = ratio * factor >= 1
         have, rest = raked.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).cast("double"),
                                F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
