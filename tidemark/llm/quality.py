@@ -187,7 +187,8 @@ def quality_rules(docs: DataFrame, *, support: float = 0.75, steps: int = 3, min
     estimate = saved(_centres(vectors), "mcd-centres")
     for _ in range(steps):
         near = _distances(vectors, estimate).withColumn("d2", _bin(F.col("d2")))
-        limit = _quantile(near, ["cell"], "d2", support).withColumnRenamed("d2", "limit")
+        # Stored, so that Spark knows its size and no cell's vectors meet in one task.
+        limit = saved(_quantile(near, ["cell"], "d2", support).withColumnRenamed("d2", "limit"), "mcd-limit")
         estimate = _estimate(near.join(limit, "cell").where(F.col("d2") <= F.col("limit")).select("cell", "x"))
     middle = _quantile(_distances(vectors, estimate).withColumn("d2", _bin(F.col("d2"))), ["cell"], "d2", 0.5)
     # The median of a chi-square of DIM degrees, by Wilson and Hilferty.
