@@ -6,8 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import spelling
+from tidemark.llm.bloom import among
+from tidemark.llm.bloom import bits as bits_of
 
 SCHEMA = "doc_id long, text string, word string, n long, form string"
 
@@ -80,7 +83,7 @@ def test_filters_hold_every_word_and_little_else():
     def block_and_bits(some):
         for places, letters in spelling.by_length(some):
             h = spelling.word_hashes(letters)
-            yield at.block(h, letters.shape[1]), spelling.Filters.bits(h)
+            yield at.block(h, letters.shape[1]), bits_of(h)
 
     for block, bits in block_and_bits(words):
         np.bitwise_or.at(filled, block, bits)
@@ -90,6 +93,15 @@ def test_filters_hold_every_word_and_little_else():
     assert passed < 0.01 * len(others)
 
 
+def test_what_is_among_others(spark):
+    some = spark.range(0, 3000, 3).withColumnRenamed("id", "rid")
+    held = [r[0] for r in spark.range(9000).where(among(some, "rid")("id")).collect()]
+    assert set(range(0, 3000, 3)) <= set(held) and len(held) < 1000 + 160
+    crowded = among(some, "rid", most_bytes=64)  # far too small: all that are in still pass
+    assert spark.range(3000).where(crowded("id") & (F.col("id") % 3 == 0)).count() == 1000
+    assert spark.range(50).where(among(some.limit(0), "rid")("id")).count() == 0
+
+
 def test_every_edit_is_made_once():
     words = ["aabbcc", "aabbccd", "abcdef"]
     letters = np.array(sorted({ord(c) for w in words for c in w}), dtype=np.uint8)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows, written once to the shared folder in buckets of the key: joins on it do not move them again."""
+    spark, table = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", work_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def packed(docs: DataFrame, *columns: Column) -> DataFrame:
     """All columns of a row as one struct ``row``, beside ``columns``: names can't clash."""
     return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *columns)

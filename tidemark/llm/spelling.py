@@ -21,16 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bloom import BITS, BLOCK, CHUNK, bits, filled
 from tidemark.llm.common import saved, whole
 
 LEAST_LENGTH = 6
 LEAST_COUNT = 5
 FACTOR = 5  # a form is this many times as frequent
 DELETED = 199  # one word of a document in so many loses a character
-BITS = 16  # of the filter, per word
-BLOCK = 64
 FILTER_BYTES = 64 << 20
-CHUNK = 4096  # blocks that are filled together
 LONGEST = 64  # longer words share a filter
 HELD = 200_000  # words a task counts before it passes them on
 CELLS = 1 << 20  # edits hashed at once
@@ -113,13 +111,6 @@ class Filters:
         length = min(length, LONGEST)
         return (((hashes >> np.uint64(32)) * np.uint64(self.blocks[length]) >> np.uint64(32)) + np.uint64(self.first[length])).astype(np.int64)
 
-    @staticmethod
-    def bits(hashes: np.ndarray) -> np.ndarray:
-        mask = np.zeros(hashes.shape, dtype=np.uint64)
-        for shift in (0, 6, 12, 18):
-            mask |= np.uint64(1) << (hashes >> np.uint64(shift) & np.uint64(63))
-        return mask
-
 
 def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of words of one length, in blocks of bounded size, and their letters (Latin-1 codes) as a matrix."""
@@ -143,26 +134,18 @@ def _filter_chunks(vocabulary: DataFrame, at: Filters, turn: int) -> np.ndarray:
                 h = h[at.round_of(h) == turn]
                 block = at.block(h, letters.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block // CHUNK), pa.array((block % CHUNK).astype(np.int32)), pa.array(Filters.bits(h).view(np.int64))],
+                    [pa.array(block // CHUNK), pa.array((block % CHUNK).astype(np.int32)), pa.array(bits(h).view(np.int64))],
                     ["chunk", "block", "mask"])
 
-    def fill(rows: pa.Table) -> pa.Table:
-        filled = np.zeros(CHUNK, dtype=np.uint64)
-        np.bitwise_or.at(filled, rows["block"].to_numpy(), rows["mask"].to_numpy().view(np.uint64))
-        return pa.table({"chunk": rows["chunk"][:1], "filled": pa.array([filled.tobytes()], pa.binary())})
-
     marks = vocabulary.select("word").mapInArrow(place, "chunk long, block int, mask long")
-    out = np.zeros((-(-at.size // CHUNK), CHUNK), dtype=np.uint64)
-    for row in marks.groupBy("chunk").applyInArrow(fill, "chunk long, filled binary").collect():  # at most FILTER_BYTES
-        out[row["chunk"]] = np.frombuffer(row["filled"], dtype=np.uint64)
-    return out.reshape(-1)
+    return filled(marks, at.size)
 
 
-def passing(words: list[str], letters: np.ndarray, at: Filters, filled: np.ndarray, turn: int) -> Iterator[tuple[int, str]]:
+def passing(words: list[str], letters: np.ndarray, at: Filters, table: np.ndarray, turn: int) -> Iterator[tuple[int, str]]:
     """``(place in words, edit)`` of all edits that the filter of this round lets through."""
     def met(hashes: np.ndarray, length: int, valid: np.ndarray) -> np.ndarray:
-        bits = Filters.bits(hashes)
-        hit = valid & ((filled[at.block(hashes, length)] & bits) == bits)
+        mask = bits(hashes)
+        hit = valid & ((table[at.block(hashes, length)] & mask) == mask)
         return hit if at.rounds == 1 else hit & (at.round_of(hashes) == turn)
 
     for places, rows in by_length(words):
@@ -201,12 +184,12 @@ def near_words(vocabulary: DataFrame, most: int = FILTER_BYTES) -> DataFrame:
         letters = np.array(sorted(ord(r["c"]) for r in used.where("c <> ''").collect()), dtype=np.uint8)  # at most 90
         found = empty
         for turn in range(at.rounds):
-            filled = spark.sparkContext.broadcast(_filter_chunks(vocabulary, at, turn))
+            table = spark.sparkContext.broadcast(_filter_chunks(vocabulary, at, turn))
 
-            def probe(batches: Iterator[pa.RecordBatch], filled=filled, turn=turn) -> Iterator[pa.RecordBatch]:
+            def probe(batches: Iterator[pa.RecordBatch], table=table, turn=turn) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-                    hits = list(passing(words, letters, at, filled.value, turn))
+                    hits = list(passing(words, letters, at, table.value, turn))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([words[i] for i, _ in hits], pa.string()), pa.array([n[i] for i, _ in hits], pa.int64()),
                          pa.array([edit for _, edit in hits], pa.string())], ["word", "n", "edit"])
