@@ -160,7 +160,7 @@ def test_all_jobs_side_by_side(spark, log, tmp_path):
         root, f"{root}/checkpoints", jobs.DRAIN)
     for job in running.values():
         job.awaitTermination()
-    assert len(running) == 6
+    assert len(running) == 11
     for table, rows in {"bronze/raw_events": 400, "lake/orders": 1}.items():
         assert spark.read.parquet(f"{root}/{table}").count() == rows
     for table in ("silver/validated_events", "gold/session_metrics", "gold/product_funnel_1m"):
@@ -297,7 +297,8 @@ def test_jobs_keep_what_they_cannot_read(spark, tmp_path):
     assert [r.event_id for r in spark.read.parquet(f"{out}/silver/untimed_events").collect()] == ["2"]
     rejected = {(r.value, r.reason) for r in spark.read.parquet(f"{out}/lake/rejected_changes").collect()}
     assert {("not json", "unparseable"), (lines[3], "unknown entity")} <= rejected and len(rejected) == 4
-    assert [r.category_id for r in spark.read.parquet(f"{out}/serving/categories").collect()] == ["c"]
+    served = sinks.read_serving(spark, f"{out}/serving/categories", ["category_id"], ["change_ts"])
+    assert [r.category_id for r in served.collect()] == ["c"]
 
 
 def test_requests_a_rollup_does_not_cover_go_to_the_table(spark):

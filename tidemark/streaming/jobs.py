@@ -25,7 +25,7 @@ from ..operators.sessions import GAP, serving_sessions, session_metrics, user_se
 from ..operators.users import merge_states, user_360, user_state
 from ..session import check_streaming
 from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events, rejected_changes, rejected_text
-from . import sinks
+from . import sinks, store
 
 Trigger = Mapping[str, Any]
 LIVE: Trigger = {"processingTime": "30 seconds"}
@@ -121,7 +121,7 @@ def start_sessions(
             serving_sessions(batch), f"{out}/serving/session_metrics", ["session_id"], SESSION_ORDER,
             label, sinks.SERVING_DEFAULTS["session_metrics"],
         )
-        sinks.append_batch(user_state(batch), f"{out}/gold/user_state", label)
+        store.commit(user_state(batch), f"{out}/gold/user_state", label, merge_states, ["user_id"])
 
     return _start(session_metrics(events, gap=gap, delay=delay), checkpoint, trigger, write)
 
@@ -129,10 +129,10 @@ def start_sessions(
 def read_user_360(spark: SparkSession, out: str) -> DataFrame:
     """User totals up to the last batch, merged from the share of each batch.
 
-    Equal to recomputing them from all sessions. A repeated batch replaces its
-    own share, so no session is counted twice.
+    Equal to recomputing them from all sessions. A repeated batch is left
+    out, so no session is counted twice.
     """
-    return user_360(merge_states(spark.read.parquet(f"{out}/gold/user_state").drop(sinks.BATCH)))
+    return user_360(merge_states(store.read(spark, f"{out}/gold/user_state")))
 
 
 def start_funnel(
@@ -164,8 +164,9 @@ def start_changes(
     entities: Sequence[str] = tuple(entity.ROUTES),
     position: Sequence[str] | None = None,
     rejects: bool = True,
+    lake: bool = True,
 ) -> StreamingQuery:
-    """Each entity to its lake log, with every version, and to its serving table.
+    """Each entity to its lake log, with every version (unless ``start_lake`` writes that), and to its serving table.
 
     ``position`` names log columns (partition, offset) that order changes of
     the same time; by default those the log has. Changes that cannot be read
@@ -182,7 +183,8 @@ def start_changes(
         for kind in entities:
             table, key, parts = entity.TABLES[kind]
             versions = entity.route(changes, kind, keep=order)
-            sinks.append_batch(versions, f"{out}/lake/{table}", label, parts)
+            if lake:
+                sinks.append_batch(versions, f"{out}/lake/{table}", label, parts)
             sinks.upsert_batch(
                 entity.serving_columns(versions, kind), f"{out}/serving/{table}", [key], order, label,
                 sinks.SERVING_DEFAULTS.get(table),
@@ -191,6 +193,29 @@ def start_changes(
     return _start(raw, checkpoint, trigger, write)
 
 
+def start_lake(
+    raw: DataFrame,
+    out: str,
+    checkpoint: str,
+    entities: Sequence[str] = (),
+    trigger: Trigger = LIVE,
+    position: Sequence[str] | None = None,
+) -> StreamingQuery:
+    """The lake log of one entity, with every version, by Spark's file sink.
+
+    The sink keeps a log of its files, which it compacts, and readers list that instead of folders: neither a
+    read nor a commit depends on the number of batches ever written. Text of other entities is not parsed.
+    """
+    (kind,) = entities
+    table, _, parts = entity.TABLES[kind]
+    if position is None:
+        position = [c for c in POSITION if c in raw.columns]
+    versions = entity.route(parse_changes(raw, position, entities), kind, keep=(entity.CHANGED, *position))
+    writer = versions.writeStream.format("parquet").option("path", f"{out}/lake/{table}")
+    writer = writer.partitionBy(*parts) if parts else writer
+    return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
+
+
 def start_all(
     event_log: Callable[[], DataFrame],
     change_log: Callable[[], DataFrame],
@@ -210,7 +235,9 @@ def start_all(
         "validated": lambda c: start_validated(event_log(), out, c, trigger or LIVE),
         "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger or SESSIONS_LIVE),
         "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger or FUNNEL_LIVE),
-        "dimensions": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("category", "user", "product")),
-        "facts": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("order", "order_item"), rejects=False),
+        "dimensions": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("category", "user", "product"), lake=False),
+        "facts": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("order", "order_item"), rejects=False, lake=False),
     }
+    for kind in entity.TABLES:
+        starts[f"lake_{kind}"] = lambda c, kind=kind: start_lake(change_log(), out, c, (kind,), trigger or LIVE)
     return {name: start(f"{checkpoints}/{name}") for name, start in starts.items()}

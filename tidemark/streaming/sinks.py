@@ -16,8 +16,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.keyed import last_per_key
+from . import store
 
-BATCH = "batch"
+BATCH = store.VERSION
 BASE = "-base"
 # Rows per statement of the relational serving tables.
 FLUSH_ROWS = {
@@ -92,11 +93,11 @@ def upsert_batch(
 ) -> None:
     """Record one batch of a keyed table: the last row of each key, without NULL keys.
 
-    Only the batch is written; ``read_serving`` resolves a key across batches.
+    The batch is written, and merged with earlier ones in levels; ``read_serving`` resolves a key across those.
     """
     keyed = df.dropna(subset=list(keys))
     latest = with_defaults(last_per_key(keyed, keys, order_by), defaults or {})
-    append_batch(latest, path, label)
+    store.commit(latest, path, label, lambda rows: last_per_key(rows, keys, [*order_by, BATCH]), keys)
 
 
 def read_serving(
@@ -104,21 +105,21 @@ def read_serving(
 ) -> DataFrame:
     """Current rows of a keyed table: the greatest ``order_by`` wins, then the later batch.
 
-    With ``schema`` (of the rows) a table whose batches were all empty has no rows; without it Spark cannot read one.
+    With ``schema`` (of the rows) a table that was never written has no rows; without it there is none to read.
+    A filter on the keys is applied before the rows of a key meet, and skips files that can't have it.
     """
-    reader = spark.read.schema(schema.add(BATCH, "string")) if schema else spark.read
-    return last_per_key(reader.parquet(path), keys, [*order_by, BATCH]).drop(BATCH)
+    if schema is not None and store.load(spark, path) is None:
+        return spark.createDataFrame([], schema)
+    return last_per_key(store.read(spark, path), keys, [*order_by, BATCH]).drop(BATCH)
 
 
 def compact_serving(
     spark: SparkSession, path: str, target: str, keys: Sequence[str], order_by: Sequence[str]
 ) -> None:
-    """Write the current rows to a new folder as its base, to read less from then on.
-
-    The base sorts before every batch, so an equal row of a later batch wins.
-    """
-    base = read_serving(spark, path, keys, order_by).withColumn(BATCH, F.lit(BASE))
-    base.write.mode("errorifexists").partitionBy(BATCH).parquet(target)
+    """Write the current rows to a new folder as its first run. Rows of later batches win over equal ones of it."""
+    if store.load(spark, target) is not None:
+        raise FileExistsError(f"there is a table at {target}")
+    upsert_batch(read_serving(spark, path, keys, order_by), target, keys, order_by, BASE)
 
 
 def merge_statement(
