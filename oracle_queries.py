@@ -271,6 +271,29 @@ ORACLES: dict[str, str] = {
     "stream_unreadable": f"""WITH {EVENTS} SELECT
       substring('{{"event_id":"' || event_id || '","event_type":"error","user_id"', 1, 30) AS value,
       'unparseable' AS reason FROM ev WHERE event_type = 'error'""",
+    "stream_user_360": "WITH " + sessions(events=LOGGED) + USERS_360[len(sessions()):].replace(
+        "FROM sm GROUP", f"FROM (SELECT * FROM sm {_CLOSED.format(end='session_end')}) GROUP") + " SELECT * FROM u360",
+    "stream_serving_orders": f"""WITH {SHOP} SELECT order_id, user_id, CAST(cents AS DOUBLE) / 100 AS total, status,
+      created_at, order_date FROM od""",
+    "stream_serving_order_items": f"""WITH {SHOP} SELECT order_item_id, order_id, product_id, quantity,
+      {average_price('cents', 'quantity')} AS unit_price, CAST(cents AS DOUBLE) / 100 AS line_total, order_date
+      FROM it QUALIFY row_number() OVER (PARTITION BY order_item_id ORDER BY order_date DESC, cents DESC, order_id DESC,
+      product_id DESC, quantity DESC) = 1""",
+    "serving_after_compaction": f"""WITH {VERSIONS} SELECT * FROM ver QUALIFY row_number() OVER (
+      PARTITION BY user_id ORDER BY change_ts DESC, change_seq DESC) = 1""",
+    "stream_lake_categories": f"WITH {SHOP} SELECT * FROM ca",
+    "stream_lake_users": f"WITH {SHOP} SELECT * FROM us",
+    "stream_lake_products": f"WITH {SHOP} SELECT * FROM pr",
+    "stream_lake_orders": f"""WITH {SHOP} SELECT order_id, user_id, CAST(cents AS DOUBLE) / 100 AS total, status,
+      created_at, order_date FROM od""",
+    "stream_lake_order_items": f"""WITH {SHOP} SELECT order_item_id, order_id, product_id, quantity,
+      {average_price('cents', 'quantity')} AS unit_price, CAST(cents AS DOUBLE) / 100 AS line_total, order_date
+      FROM it""",
+    "stream_validated": f"WITH {BRONZE} SELECT * EXCLUDE (ingestion_ts) FROM si",
+    "stream_user_sessions": f"""WITH {sessions()} SELECT session_id, user_id, session_start, session_end, event_count, session_date
+      FROM sm {_CLOSED.format(end='session_end')}""",
+    "stream_sessions_from_log": f"WITH {sessions(events=LOGGED)} SELECT {_SM} FROM sm {_CLOSED.format(end='session_end')}",
+    "stream_funnel_from_log": f"WITH {funnel()} SELECT * FROM fu {_CLOSED.format(end='window_end')}",
     "stream_serving_categories": f"WITH {SHOP} SELECT * FROM ca",
     "stream_serving_users": f"WITH {SHOP} SELECT * EXCLUDE (updated_at) FROM us",
     "stream_serving_products": f"WITH {SHOP} SELECT * EXCLUDE (created_at) FROM pr",

@@ -590,17 +590,107 @@ def _serving_query(kind: str) -> None:
             log.where(some).write.text(f"{path}/{i}")
         session = streaming_session(spark)
         source = read_text(session, f"{path}/*", streaming=True, maxFilesPerTrigger="4")
-        root = _drain(jobs.start_changes, spark, source, entities=[kind])
+        root = _drain(jobs.start_changes, spark, source, entities=[kind], lake=False)
         return sinks.read_serving(spark, f"{root}/serving/{table}", [key], [entity.CHANGED]).drop(entity.CHANGED)
 
     served.__name__ = f"stream_serving_{table}"
     query(served)
 
 
-for _kind in ("category", "user", "product"):
+for _kind in ("category", "user", "product", "order"):
     _serving_query(_kind)
 
 
+@query
+def stream_serving_order_items(spark, sf_dir):
+    """Line ids repeat on one date, so the log has positions, as a topic does; three batches, one of them old changes."""
+    position = F.round(F.get_json_object("value", "$.line_total").cast("decimal(20,2)") * 100).cast("long")
+    log = wh.change_log(spark, sf_dir).where(F.col("value").contains('"entity_type":"order_item"')).select(
+        "value", F.lit(0).alias("log_partition"), position.alias("log_offset"))
+    path, part, session = work_path(spark, "changes"), F.xxhash64("value"), streaming_session(spark)
+    for i, some in enumerate((part % 2 == 0, part % 2 != 0, part % 3 == 0)):
+        log.where(some).write.parquet(f"{path}/{i}")
+    source = session.readStream.schema(log.schema).option("maxFilesPerTrigger", "4").parquet(f"{path}/*")
+    root = _drain(jobs.start_changes, spark, source, entities=["order_item"], lake=False)
+    order = [entity.CHANGED, *jobs.POSITION]
+    return sinks.read_serving(spark, f"{root}/serving/order_items", ["order_item_id"], order).drop(*order)
+
+
+@query
+def serving_after_compaction(spark, sf_dir):
+    """Two dozen batches of all versions of the users, in no order of time, merged in levels while they are written."""
+    versions, path = wh.user_versions(spark, sf_dir), work_path(spark, "serving")
+    batch = F.pmod(F.xxhash64("user_id", "change_ts", "change_seq"), F.lit(24))
+    for i in range(24):
+        sinks.upsert_batch(versions.where(batch == i), path, ["user_id"], ["change_ts", "change_seq"], sinks.batch_label("load", i))
+    return sinks.read_serving(spark, path, ["user_id"], ["change_ts", "change_seq"]).select(versions.columns)
+
+
+def _lake_query(kind: str) -> None:
+    table, _, _ = entity.TABLES[kind]
+
+    def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Two halves of the log, in several batches of the file sink; every version stays."""
+        log = wh.change_log(spark, sf_dir).where(F.col("value").contains(f'"entity_type":"{kind}"'))
+        path = work_path(spark, "changes")
+        for i in range(2):
+            log.where(F.pmod(F.xxhash64("value"), F.lit(2)) == i).write.text(f"{path}/{i}")
+        source = read_text(streaming_session(spark), f"{path}/*", streaming=True, maxFilesPerTrigger="8")
+        root = _drain(jobs.start_lake, spark, source, entities=[kind])
+        names = [name for name, _ in entity.ROUTES[kind].values()]
+        return read_lake(spark, f"{root}/lake/{table}", contracts.load(f"entities.{table}")).select(names)
+
+    logged.__name__ = f"stream_lake_{table}"
+    query(logged)
+
+
+for _kind in entity.TABLES:
+    _lake_query(_kind)
+
+
+@query
+def stream_validated(spark, sf_dir):
+    root = _drain(jobs.start_validated, spark, _stream_log(spark, sf_dir))
+    good = read_lake(spark, f"{root}/silver/validated_events", contracts.load("silver.validated_events"))
+    return good.drop("ingestion_ts")  # the time of the run
+
+
+@query
+def stream_user_sessions(spark, sf_dir):
+    root = _drain(jobs.start_sessions, spark, _stream_events(spark, sf_dir))
+    return read_lake(spark, f"{root}/silver/user_sessions", contracts.load("silver.user_sessions"))
+
+
+def _drain_thrice(job: Callable[..., object], spark: SparkSession, sf_dir: str) -> str:
+    """Run a job on the text log as three parts of it arrive, each time from the checkpoint of the run before."""
+    log, session = wh.click_log(spark, sf_dir), streaming_session(spark)
+    path, root = work_path(spark, "log"), work_path(spark, "restarted")
+    at = F.get_json_object("value", "$.timestamp")
+    for i, part in enumerate((at < "2024-01-11", (at >= "2024-01-11") & (at < "2024-01-21"), at >= "2024-01-21")):
+        log.where(part).write.text(f"{path}/{i}")
+        events = jobs.window_events(read_text(session, f"{path}/*", streaming=True))
+        job(events, root, f"{root}/checkpoint", trigger=jobs.DRAIN).awaitTermination()
+    return root
+
+
+@query
+def stream_sessions_from_log(spark, sf_dir):
+    root = _drain_thrice(jobs.start_sessions, spark, sf_dir)
+    return read_lake(spark, f"{root}/gold/session_metrics", contracts.load("gold.session_metrics"))
+
+
+@query
+def stream_funnel_from_log(spark, sf_dir):
+    root = _drain_thrice(jobs.start_funnel, spark, sf_dir)
+    return read_lake(spark, f"{root}/gold/product_funnel_1m", contracts.load("gold.product_funnel_1m"))
+
+
+@query
+def stream_user_360(spark, sf_dir):
+    """User totals of the closed sessions, from the share of each batch."""
+    return jobs.read_user_360(spark, _drain_thrice(jobs.start_sessions, spark, sf_dir))
+
+
 @query
 def stream_rejected(spark, sf_dir):
     root = _drain(jobs.start_validated, spark, _stream_log(spark, sf_dir))
