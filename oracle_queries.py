@@ -427,6 +427,16 @@ ORACLES: dict[str, str] = {
                    "u360 AS (SELECT DISTINCT user_id FROM sm) " + _tables(
         ("bronze.raw_events", "ev"), ("silver.validated_events", "si"), ("silver.user_sessions", "sm"),
         ("gold.session_metrics", "sm"), ("gold.product_funnel_1m", "fu"), ("gold.user_360", "u360")),
+    "reprocess_diff": f"WITH {sessions(events=LOGGED)}, {SHOP}, fu AS (SELECT DISTINCT product_id, date_trunc('minute', event_timestamp) "
+                      "FROM ev), valid AS (SELECT 1 FROM ev WHERE event_type IN ('page_view', 'add_to_cart', 'purchase')), "
+                      "invalid AS (SELECT 1 FROM ev WHERE event_type NOT IN ('page_view', 'add_to_cart', 'purchase')), none AS (SELECT 1 WHERE false), "
+                      "served AS (SELECT DISTINCT session_id FROM sm), u360 AS (SELECT DISTINCT user_id FROM sm), "
+                      "shown AS (SELECT 1 FROM fu WHERE product_id IS NOT NULL) " + _tables(
+        ("bronze.raw_events", "ev"), ("silver.validated_events", "valid"), ("silver.user_sessions", "sm"),
+        ("gold.session_metrics", "sm"), ("gold.product_funnel_1m", "fu"), ("gold.user_360", "u360"),
+        ("bronze.rejected_text", "none"), ("silver.rejected_events", "invalid"), ("lake.rejected_changes", "none"),
+        ("lake.categories", "ca"), ("lake.products", "pr"), ("serving.session_metrics", "served"), ("serving.product_funnel_1m", "shown"),
+        ("serving.categories", "ca"), ("serving.products", "pr")),
     "stream_bronze": f"WITH {BRONZE} SELECT {_BRONZE_COLUMNS} FROM br",
     "stream_rejected": f"WITH {BRONZE} {_REJECTED}",
     "stream_sessions": f"WITH {sessions()} SELECT {_SM} FROM sm {_CLOSED.format(end='session_end')}",

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import last_per_key
+from tidemark.plans import replay
 from tidemark.streaming import sinks, store
 
 
@@ -101,3 +102,48 @@ def test_states_that_add_up(spark, tmp_path):
         store.commit(spark.createDataFrame([("a", n), ("b", 1)], "k string, n long"), path, f"q-{n}", add, fanout=3)
     assert {tuple(r) for r in add(store.read(spark, path)).collect()} == {("a", 190), ("b", 20)}
     assert json.loads(Path(path, store.HEAD).read_text())["done"] == {"q": 19}
+
+
+def test_a_rebuild_that_dies_leaves_the_tables(spark, tmp_path, monkeypatch):
+    def logs(n):
+        events = [json.dumps({"event_id": f"{i}", "event_type": "page_view", "user_id": "U", "session_id": f"S{i % 3}", "product_id": "P",
+                              "timestamp": f"2024-01-01 0{i % 5}:00:00.000", "metadata": {}}) for i in range(n)]
+        changes = [json.dumps({"entity_type": kind, "timestamp": "2024-01-01 00:00:00.000", key: f"{i}"})
+                   for kind, key in (("category", "category_id"), ("user", "user_id"), ("product", "product_id"), ("order", "order_id"),
+                                     ("order_item", "order_item_id")) for i in range(n)]
+        return (spark.createDataFrame([(v,) for v in x], "value string") for x in ([*events, "garbage"], [*changes, "{}"]))
+
+    root, at = str(tmp_path), F.col("event_timestamp")
+    with pytest.raises(FileNotFoundError):
+        replay.read_version(spark, root)
+    first = replay.reprocess(*logs(4), root, ingestion_ts=at)
+    assert replay.live(spark, root) == first
+
+    def counts():
+        return {t: df.count() for t, df in replay.read_version(spark, root).items()}
+
+    before = counts()
+    assert len(before) == 21 and before["serving.orders"] == before["lake.users"] == before["bronze.raw_events"] == 4
+    assert before["bronze.rejected_text"] == before["lake.rejected_changes"] == 1
+    whole = sinks.upsert_batch
+
+    def dying(df, path, *more):
+        if path.endswith("/products"):
+            raise OSError("lost")
+        whole(df, path, *more)
+
+    monkeypatch.setattr(sinks, "upsert_batch", dying)
+    with pytest.raises(OSError, match="lost"):
+        replay.reprocess(*logs(9), root, ingestion_ts=at)
+    monkeypatch.undo()
+    assert replay.live(spark, root) == first and counts() == before
+    seen = []
+
+    def accept(diff):
+        seen.append({r.table: (r.only_left, r.only_right) for r in diff.collect()})
+        return len(seen) > 1
+
+    assert replay.reprocess(*logs(6), root, accept, ingestion_ts=at) == first and counts() == before
+    second = replay.reprocess(*logs(6), root, accept, ingestion_ts=at)
+    assert second != first and replay.live(spark, root) == second and counts()["serving.order_items"] == 6
+    assert seen[0] == seen[1] and len(seen[0]) == 21 and seen[0]["lake.orders"] == (0, 2) and seen[0]["bronze.rejected_text"] == (0, 0)

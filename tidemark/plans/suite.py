@@ -535,6 +535,17 @@ def replay_diff(spark, sf_dir):
     return diff.withColumnRenamed("table", "table_name")
 
 
+@query
+def reprocess_diff(spark, sf_dir):
+    """The tables of events, categories and products, rebuilt from both logs, against the version that was live before."""
+    root, found = work_path(spark, "versions"), []
+    arrived = F.col("event_timestamp") + F.expr("INTERVAL '1' SECOND")
+    for _ in range(2):
+        replay.reprocess(wh.click_log(spark, sf_dir), wh.change_log(spark, sf_dir), root,
+                         lambda diff: found.append(diff) is None, ("category", "product"), ingestion_ts=arrived)
+    return found[0].withColumnRenamed("table", "table_name")
+
+
 # --- streams ------------------------------------------------------------------
 
 
