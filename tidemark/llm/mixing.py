@@ -15,7 +15,7 @@ from tidemark.llm.common import let, packed, saved, space_words, whole
 
 DIMENSIONS = ("source", "lang", "topic")
 TOLERANCE = 1e-11  # of each marginal, relative to its target
-PATIENCE = 5  # pairs of rounds in which the error has to fall by a tenth
+PATIENCE = 25  # pairs of rounds in which the error has to fall by a tenth
 
 
 def register(text: Column, n_words: Column) -> Column:
@@ -48,8 +48,9 @@ def _targets(cells: DataFrame, dim: str, given: dict[str, float] | None, tempera
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]], temperature: float, tolerance: float = TOLERANCE) -> DataFrame:
     """Cells with ``weight``: their share of all tokens once every marginal fits its targets within the tolerance.
 
-    Raises ``ValueError`` if a value with a target has no tokens, or if the marginals stop coming nearer to the
-    targets: cells without tokens can make targets that hold each by itself impossible together.
+    Raises ``ValueError`` if a value with a target has no tokens, or if the marginals stop coming nearer to targets
+    that were given: cells without tokens can make targets that hold each by itself impossible together. Without
+    given targets raking ends there: ``marginals`` shows what is left.
     """
     for dim, given in targets.items():
         have = {r[0] for r in cells.where(F.col(dim).isin(*given)).select(dim).distinct().collect()}  # at most the values named
@@ -70,6 +71,8 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], temperature: fl
         if errors[-1] <= tolerance:
             return out
         if len(errors) > PATIENCE and errors[-1] > 0.9 * errors[-1 - PATIENCE]:
+            if not any(targets.values()):
+                return out
             raise ValueError(f"the targets can't be met together: after {2 * len(errors)} rounds a marginal is still "
                              f"{errors[-1]:.3g} of its target away")
 
@@ -126,7 +129,7 @@ def mix(docs: DataFrame, *, targets: dict[str, dict[str, float]] | None = None,
     """Documents (``row``: ``columns`` or all) with ``source, lang, topic, n_tokens, weight, probability, sampled``.
 
     ``targets`` gives shares by dimension and value; a dimension without targets gets its tokens to the power
-    ``temperature``. Targets that can't be met raise. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
+    ``temperature``. Given targets that can't be met raise. ``budget`` is the expected share of tokens drawn. A document is drawn once at most, so cells that
     are too small for their weight are drawn whole and the others make up for them: a budget near 1 leaves the
     marginals where they were. Without a budget (None) it is the largest one that such cells cut by at most
     ``slack`` of the weight; ``marginals`` shows what is met. Null sources and languages form cells of

@@ -11,7 +11,7 @@ from tidemark.llm.spelling import DELETED, FACTOR, LEAST_COUNT, LEAST_LENGTH
 GAP = r"[ \t-\r]+"
 
 
-def _mixing(rounds: int = 24, temperature: float = 0.7, budget: float = 0.9, seed: int = 7) -> str:
+def _mixing(rounds: int = 80, temperature: float = 0.7, budget: float = 0.9, seed: int = 7) -> str:
     dims = ("source", "lang", "topic")
     parts = [f"""docs AS MATERIALIZED (
       SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
