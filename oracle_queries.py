@@ -268,6 +268,9 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'unknown entity', count(*) FROM ca""",
     "deduplicated_untimed": f"WITH {EVENTS} {_ONCE}",
     "stream_deduplicated": f"WITH {EVENTS} {_ONCE}",
+    "stream_deduplicated_late": f"""WITH {BRONZE} SELECT event_id, event_type, user_id, product_id, event_timestamp FROM si
+      UNION ALL SELECT event_id, event_type, user_id, product_id, event_timestamp + INTERVAL 10 DAY FROM si
+      WHERE CAST(event_id AS BIGINT) % 5 = 2""",
     "stream_unreadable": f"""WITH {EVENTS} SELECT
       substring('{{"event_id":"' || event_id || '","event_type":"error","user_id"', 1, 30) AS value,
       'unparseable' AS reason FROM ev WHERE event_type = 'error'""",

@@ -580,6 +580,32 @@ def stream_deduplicated(spark, sf_dir):
     return spark.read.parquet(f"{root}/silver/unique_events").drop(sinks.BATCH)
 
 
+@query
+def stream_deduplicated_late(spark, sf_dir):
+    """The silver job, restarted for each of four parts of the log.
+
+    Of each five events one comes again a part later, one again with a time two days later, and one with a time ten days
+    later, which is longer than ids are remembered.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path, root, session = work_path(spark, "log"), work_path(spark, "unique"), streaming_session(spark)
+    kind = F.pmod("event_id", F.lit(5))
+    again = F.when(kind == 1, F.array(F.lit(0), F.lit(2))).when(kind == 2, F.array(F.lit(0), F.lit(10))).otherwise(F.array(F.lit(0)))
+    moved = events.withColumn("days", F.explode(again))
+    moved = moved.withColumn("ts", F.col("ts") + F.expr("make_dt_interval(days)")).drop("days")
+    bounds = [datetime(2023, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2030, 1, 1), datetime(2030, 1, 2)]
+    for i in range(4):
+        own = moved.where((F.col("ts") >= moment(bounds[i])) & (F.col("ts") < moment(bounds[i + 1])))
+        if i:
+            own = own.unionByName(events.where(
+                (kind == 0) & (F.col("ts") >= moment(bounds[i - 1])) & (F.col("ts") < moment(bounds[i]))))
+        wh.click_log(spark, sf_dir, own).write.text(f"{path}/{i}")
+        log = read_text(session, f"{path}/*", streaming=True)
+        jobs.start_validated(log, root, f"{root}/checkpoint", jobs.DRAIN, remember=7 * DAY).awaitTermination()
+    good = read_lake(spark, f"{root}/silver/validated_events", contracts.load("silver.validated_events"))
+    return good.select("event_id", "event_type", "user_id", "product_id", "event_timestamp")
+
+
 @query
 def stream_unreadable(spark, sf_dir):
     """Error events arrive cut off; the bronze job keeps their text."""

@@ -25,7 +25,7 @@ from ..operators.sessions import GAP, serving_sessions, session_metrics, user_se
 from ..operators.users import merge_states, user_360, user_state
 from ..session import check_streaming
 from ..sources.logs import WINDOW_FIELDS, parse_changes, parse_events, rejected_changes, rejected_text
-from . import sinks, store
+from . import seen, sinks, store
 
 Trigger = Mapping[str, Any]
 LIVE: Trigger = {"processingTime": "30 seconds"}
@@ -70,18 +70,41 @@ def start_bronze(raw: DataFrame, out: str, checkpoint: str, trigger: Trigger = L
     return _start(raw, checkpoint, trigger, write)
 
 
-def start_validated(raw: DataFrame, out: str, checkpoint: str, trigger: Trigger = LIVE) -> StreamingQuery:
+def start_validated(
+    raw: DataFrame, out: str, checkpoint: str, trigger: Trigger = LIVE, remember: timedelta | None = None
+) -> StreamingQuery:
     """Valid events to the silver table, the others with their reasons to a reject table.
 
     Valid events without a time, which no window can hold, are reported as well.
+    With ``remember``, in whole days, a copy of an event is left out for so long, by an index of the ids seen
+    (see ``seen``), and counted in a table of its own; the index takes a batch after its events are written.
     """
     parts = contracts.load("silver.validated_events").partition_by
+    index = f"{out}/silver/seen_ids"
 
     def write(batch: DataFrame, label: str) -> None:
         good = enrich_events(valid_events(batch))
-        sinks.append_batch(good, f"{out}/silver/validated_events", label, parts)
         sinks.append_batch(rejected_events(batch), f"{out}/silver/rejected_events", label)
         sinks.append_batch(untimed_events(good), f"{out}/silver/untimed_events", label)
+        if remember is None:
+            sinks.append_batch(good, f"{out}/silver/validated_events", label, parts)
+        elif not seen.has(batch.sparkSession, index, label):
+            write_unique(good, label, remember.days)
+
+    def write_unique(good: DataFrame, label: str, days: int) -> None:
+        table, within = f"{out}/silver/validated_events", seen.span(good)
+        if within is None:
+            sinks.append_batch(good, table, label, parts)
+            return
+        marked = seen.mark_copies(good, seen.read(good.sparkSession, index), days, within)
+        marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            unique = seen.first_events(marked, good.columns).unionByName(seen.incomparable(good))
+            sinks.append_batch(unique, table, label, parts)
+            sinks.append_batch(seen.copies(marked), f"{out}/silver/repeated_events", label)
+            seen.remember(marked, index, label, days, within)
+        finally:
+            marked.unpersist()
 
     return _start(bronze_events(parse_events(raw)), checkpoint, trigger, write)
 
@@ -232,7 +255,7 @@ def start_all(
     """
     starts = {
         "bronze": lambda c: start_bronze(event_log(), out, c, trigger or LIVE),
-        "validated": lambda c: start_validated(event_log(), out, c, trigger or LIVE),
+        "validated": lambda c: start_validated(event_log(), out, c, trigger or LIVE, seen.REMEMBER),
         "sessions": lambda c: start_sessions(window_events(event_log()), out, c, trigger or SESSIONS_LIVE),
         "funnel": lambda c: start_funnel(window_events(event_log()), out, c, trigger or FUNNEL_LIVE),
         "dimensions": lambda c: start_changes(change_log(), out, c, trigger or LIVE, ("category", "user", "product"), lake=False),
