@@ -141,3 +141,50 @@ def history(
         "valid_to": F.coalesce("_next", "_next_cell"),
         "is_current": F.coalesce("_next", "_next_cell").isNull(),
     }).drop("_cell", "_next", "_next_cell")
+
+
+def at_own_time(
+    facts: DataFrame,
+    log: DataFrame,
+    key: str,
+    time: str,
+    changed: str = CHANGED,
+    tie_break: Sequence[str] = (),
+    cell: timedelta = timedelta(hours=1),
+) -> DataFrame:
+    """Each fact with ``version``, the row of ``log`` that was valid for its key at the fact's own time.
+
+    That is the last version changed at or before it; of those with the same time the greatest ``tie_break`` counts.
+    ``version`` is NULL where there was none yet, and for facts without a key or a time. No fact is lost or repeated.
+
+    Facts meet the versions of their own (key, cell) and the one version carried into it, found over cells and not over
+    rows: no key is ordered as a whole, neither its facts nor its versions, and a (key, cell) with very many facts can be
+    split by the join. Choose ``cell`` so that a key changes a few times in it at most. Facts are shuffled once.
+    """
+    known = log.where(F.col(key).isNotNull() & F.col(changed).isNotNull())
+    versions = last_per_key(known, [key, changed], tie_break).select(
+        F.col(key).alias("_key"), cell_start(changed, cell).alias("_cell"), F.col(changed).alias("_from"),
+        F.lit(1).alias("_own"), F.struct(*log.columns).alias("version"))
+    # Cells leave out rows without a time, so such facts are put into one, where no version matches them.
+    some_time = F.coalesce(F.col(time), moment(datetime(1970, 1, 1)))
+    placed = facts.select(F.struct("*").alias("fact"), F.col(key).alias("_fact_key"), F.col(time).alias("_time"),
+                          cell_start(some_time, cell).alias("_fact_cell"))
+    # What is carried into a cell with facts: the last version of the cells before it.
+    asked = placed.where("_fact_key IS NOT NULL AND _time IS NOT NULL").groupBy(
+        F.col("_fact_key").alias("_key"), F.col("_fact_cell").alias("_cell")).agg(F.lit(True).alias("_asked"))
+    lasts = versions.groupBy("_key", "_cell").agg(F.max_by(F.struct("_from", "version"), "_from").alias("_last"))
+    before = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        lasts.join(asked, ["_key", "_cell"], "full")
+        .withColumn("_carried", F.last("_last", ignorenulls=True).over(before))
+        .where("_asked AND _carried IS NOT NULL")
+        .select("_key", "_cell", F.col("_cell").alias("_from"), F.lit(0).alias("_own"), F.col("_carried.version"))
+    )
+    # A version that starts with the cell leaves the carried one an empty range.
+    ordered = Window.partitionBy("_key", "_cell").orderBy("_from", "_own")
+    ranges = versions.unionByName(carried).withColumn("_to", F.lead("_from").over(ordered))
+    valid = (
+        (F.col("_fact_key") == F.col("_key")) & (F.col("_fact_cell") == F.col("_cell"))
+        & (F.col("_from") <= F.col("_time")) & (F.col("_to").isNull() | (F.col("_time") < F.col("_to")))
+    )
+    return placed.join(ranges, valid, "left").select("fact.*", "version")
