@@ -254,6 +254,15 @@ ORACLES: dict[str, str] = {
       SELECT user_id, city, status, change_seq, change_ts AS valid_from,
         lead(change_ts) OVER w AS valid_to, lead(change_ts) OVER w IS NULL AS is_current
       FROM one WINDOW w AS (PARTITION BY user_id ORDER BY change_ts)""",
+    "orders_with_user_as_of": f"""WITH {VERSIONS}, one AS (
+      SELECT * FROM ver QUALIFY row_number() OVER (PARTITION BY user_id, change_ts ORDER BY change_seq DESC) = 1)
+      SELECT od.order_id, od.user_id, od.created_at, one.status AS user_status, one.change_ts AS status_since, one.change_seq
+      FROM od ASOF LEFT JOIN one ON od.user_id = one.user_id AND od.created_at >= one.change_ts""",
+    "events_with_user_as_of": f"""WITH {EVENTS}, one AS (
+      SELECT user_id, product_id, event_timestamp FROM ev WHERE event_type = 'purchase'
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_timestamp ORDER BY event_id DESC) = 1)
+      SELECT ev.event_id, ev.user_id, ev.event_timestamp, one.product_id AS last_product, one.event_timestamp AS bought_at
+      FROM ev ASOF LEFT JOIN one ON ev.user_id = one.user_id AND ev.event_timestamp >= one.event_timestamp""",
     "category_tree_deep": """WITH n AS (
       SELECT n_nationkey AS k, n_name AS name, 'R-' || n_regionkey AS region, n_nationkey > 2 AS ok FROM nation)
       SELECT 'R-' || r_regionkey AS category_id, r_name AS name, CAST(NULL AS VARCHAR) AS parent_category_id,
@@ -364,6 +373,12 @@ ORACLES: dict[str, str] = {
       {_ROLLUP_SUMS}, CAST(sum(session_duration_seconds) AS BIGINT) AS avg_session_duration_seconds__sum,
       count(*) AS avg_session_duration_seconds__count, count(*) FILTER (converted) AS converted_sessions
       FROM sm GROUP BY 1, 2""",
+    "preagg_distinct_within_bound": f"""WITH {sessions()}, g AS (
+      SELECT 'week' AS grain, date_trunc('week', session_date) AS session_date, converted, session_id FROM sm UNION ALL
+      SELECT 'month', date_trunc('month', session_date), converted, session_id FROM sm UNION ALL
+      SELECT 'year', date_trunc('year', session_date), converted, session_id FROM sm)
+      SELECT grain, CAST(session_date AS TIMESTAMP) AS session_date, converted, count(DISTINCT session_id) AS total_sessions,
+        true AS within_bound FROM g GROUP BY 1, 2, 3""",
     "preagg_hit": f"""WITH {sessions()} SELECT converted, count(*) AS count, CAST(sum(purchases) AS BIGINT)
       AS total_purchases FROM sm WHERE converted GROUP BY 1""",
     "preagg_miss": f"""WITH {sessions()} SELECT CAST(date_trunc('month', session_date) AS TIMESTAMP) AS session_date,

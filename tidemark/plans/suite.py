@@ -253,6 +253,27 @@ def dim_history(spark, sf_dir):
     return ranges.select("user_id", "city", "status", "change_seq", "valid_from", "valid_to", "is_current")
 
 
+@query
+def orders_with_user_as_of(spark, sf_dir):
+    """Orders with the user's status at their own time; cells of a month hold several changes of a user."""
+    orders = wh.orders(spark, sf_dir).select("order_id", "user_id", "created_at")
+    log = wh.user_versions(spark, sf_dir).select("user_id", "status", "change_ts", "change_seq")
+    dated = entity.at_own_time(orders, log, "user_id", "created_at", tie_break=["change_seq"], cell=30 * DAY)
+    return dated.select("order_id", "user_id", "created_at", F.col("version.status").alias("user_status"),
+                        F.col("version.change_ts").alias("status_since"), F.col("version.change_seq").alias("change_seq"))
+
+
+@query
+def events_with_user_as_of(spark, sf_dir):
+    """Events with the last one of the same user that bought something, before or at the same time."""
+    events = wh.click_events(spark, sf_dir)
+    bought = events.where("event_type = 'purchase'").select("user_id", "product_id", "event_timestamp", "event_id")
+    dated = entity.at_own_time(events.select("event_id", "user_id", "event_timestamp"), bought, "user_id", "event_timestamp",
+                               changed="event_timestamp", tie_break=["event_id"], cell=DAY)
+    return dated.select("event_id", "user_id", "event_timestamp", F.col("version.product_id").alias("last_product"),
+                        F.col("version.event_timestamp").alias("bought_at"))
+
+
 @query
 def category_tree(spark, sf_dir):
     return category_roots(wh.categories(spark, sf_dir))
@@ -409,6 +430,30 @@ def preagg_month_from_day(spark, sf_dir):
                           grain="month", rollups=[daily])
 
 
+def _sketched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sessions, and their stored totals by day and outcome, with sketches of the ids."""
+    sessions = _sessions(spark, sf_dir)
+    daily = metrics.pre_aggregate(sessions, "session_metrics", ["session_date", "converted"], "day", sketches=True)
+    path = metrics.store_rollup(daily, work_path(spark, "rollups"), "session_metrics", "sketched")
+    return sessions, spark.read.parquet(path)
+
+
+@query
+def preagg_distinct_within_bound(spark, sf_dir):
+    """Distinct sessions by week, month or year and outcome, exact, and whether the stored sketches come near enough."""
+    sessions, daily = _sketched(spark, sf_dir)
+    dimensions, found = ["session_date", "converted"], []
+    for grain in ("week", "month", "year"):
+        exact = metrics.query(sessions, "session_metrics", ["total_sessions"], dimensions, grain=grain)
+        near = metrics.answer(sessions.limit(0), "session_metrics", ["total_sessions"], dimensions, grain=grain,
+                              rollups=[daily], approximate=True).withColumnRenamed("total_sessions", "estimate")
+        off = F.abs(F.col("estimate") - F.col("total_sessions")) / F.col("total_sessions")
+        found.append(exact.join(near, dimensions, "left").select(
+            F.lit(grain).alias("grain"), *dimensions, "total_sessions",
+            F.coalesce(off <= metrics.sketch_bound(), F.lit(False)).alias("within_bound")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # --- contracts and quality ----------------------------------------------------
 
 
