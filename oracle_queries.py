@@ -184,6 +184,12 @@ _LAST_SESSION = """SELECT session_id, user_id, session_date, session_start, sess
   CAST(add_to_carts AS INTEGER) AS add_to_carts, CAST(purchases AS INTEGER) AS purchases, converted
 FROM sm {where} QUALIFY row_number() OVER (
   PARTITION BY session_id ORDER BY session_end DESC, session_start DESC, user_id DESC) = 1"""
+_RANGES = """ra AS (SELECT * FROM (VALUES ('weeks', TIMESTAMP '2024-01-03 07:13:00', TIMESTAMP '2024-01-29 22:41:00'),
+  ('night', TIMESTAMP '2024-01-09 23:31:00', TIMESTAMP '2024-01-10 00:31:00'),
+  ('all', TIMESTAMP '1960-01-01 00:00:00', TIMESTAMP '2040-01-01 00:00:00')) AS v(range, low, high))
+  SELECT range, product_id, CAST(sum(page_views) AS BIGINT) AS page_views, CAST(sum(add_to_carts) AS BIGINT) AS add_to_carts,
+    CAST(sum(purchases) AS BIGINT) AS purchases FROM {windows}
+  JOIN ra ON window_start >= low AND window_start < high GROUP BY 1, 2"""
 _CLOSED = "WHERE {end} <= (SELECT date_trunc('millisecond', max(event_timestamp) - INTERVAL 5 SECOND) FROM ev)"
 _BRONZE_COLUMNS = "event_id, event_type, user_id, session_id, product_id, event_timestamp, metadata, event_date"
 _REJECTED = """SELECT event_id, event_type, 'event_type unknown' AS reasons FROM br
@@ -280,6 +286,8 @@ ORACLES: dict[str, str] = {
     "stream_deduplicated_late": f"""WITH {BRONZE} SELECT event_id, event_type, user_id, product_id, event_timestamp FROM si
       UNION ALL SELECT event_id, event_type, user_id, product_id, event_timestamp + INTERVAL 10 DAY FROM si
       WHERE CAST(event_id AS BIGINT) % 5 = 2""",
+    "funnel_any_range": f"WITH {funnel()}, {_RANGES.format(windows='fu')}",
+    "stream_funnel_any_range": f"WITH {funnel()}, cl AS (SELECT * FROM fu {_CLOSED.format(end='window_end')}), {_RANGES.format(windows='cl')}",
     "stream_unreadable": f"""WITH {EVENTS} SELECT
       substring('{{"event_id":"' || event_id || '","event_type":"error","user_id"', 1, 30) AS value,
       'unparseable' AS reason FROM ev WHERE event_type = 'error'""",

@@ -1,0 +1,69 @@
+"""Funnels over any range of time: the cells of a range, and the counts made of them."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from tidemark.operators import funnel
+from tidemark.streaming import jobs, sinks
+
+MINUTE = timedelta(minutes=1)
+WINDOWS = ("product_id string, window_start timestamp_ntz, window_end timestamp_ntz, page_views long, add_to_carts long, "
+           "purchases long")
+
+
+@pytest.mark.parametrize("top", [0, 1, 3, 20])
+def test_cells_make_up_the_range_exactly(top):
+    rng = random.Random(top)
+    for _ in range(200):
+        low = rng.randrange(-500, 500)
+        high = low + rng.randrange(0, 300)
+        parts = funnel.cover(funnel.EPOCH + low * MINUTE, funnel.EPOCH + high * MINUTE, MINUTE, top)
+        held = [n for level, first, last in parts for n in range(first << level, last + 1 << level)]
+        assert sorted(held) == list(range(low, high))
+        assert sum(1 for _ in parts) <= 2 * top + 1
+
+
+def test_few_cells_for_years():
+    parts = funnel.cover(datetime(2020, 1, 1, 0, 1), datetime(2031, 7, 7, 7, 7))
+    assert sum(last - first + 1 for _, first, last in parts) <= 2 * funnel.TOP_LEVEL + 6
+
+
+def test_a_range_inside_a_window_raises():
+    with pytest.raises(ValueError, match="begin and end"):
+        funnel.cover(datetime(2024, 1, 1, 0, 0, 1), datetime(2024, 1, 2))
+    with pytest.raises(ValueError, match="whole seconds"):
+        funnel._seconds(timedelta(milliseconds=1500))
+
+
+def test_counts_of_batches_against_plain_sums(spark, tmp_path):
+    rng, path, rows = random.Random(3), str(tmp_path / "cells"), []
+    for n in range(10):
+        some = [(rng.choice(["a", "b", None]), start := funnel.EPOCH + rng.randrange(-3000, 9000) * MINUTE, start + MINUTE,
+                 rng.randrange(5), rng.randrange(3), 1) for _ in range(30)]
+        batch = spark.createDataFrame(some, WINDOWS)
+        assert jobs.add_cells(batch, path, sinks.batch_label("c", n))
+        assert not jobs.add_cells(batch, path, sinks.batch_label("c", n))  # a repeated batch isn't counted twice
+        rows += some
+    for _ in range(6):
+        low = rng.randrange(-3500, 9000)
+        start, end = funnel.EPOCH + low * MINUTE, funnel.EPOCH + (low + rng.randrange(0, 6000)) * MINUTE
+        expected = {}
+        for product, at, _, *counts in rows:
+            if start <= at < end:
+                expected[product] = tuple(map(sum, zip(expected.get(product, (0, 0, 0)), counts)))
+        found = jobs.read_funnel_between(spark, path, start, end).collect()
+        assert {r.product_id: (r.page_views, r.add_to_carts, r.purchases) for r in found} == expected
+
+
+def test_the_cells_are_chosen_by_the_scan(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    jobs.add_cells(spark.createDataFrame([("a", funnel.EPOCH, funnel.EPOCH + MINUTE, 1, 1, 1)], WINDOWS), path, "c-0")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = jobs.read_funnel_between(spark, path, funnel.EPOCH, funnel.EPOCH + 5 * MINUTE)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters: ["):]
+    assert "EqualTo(level,0)" in pushed and "EqualTo(level,2)" in pushed and "GreaterThanOrEqual(cell,4)" in pushed

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -743,7 +744,7 @@ def stream_user_sessions(spark, sf_dir):
     return read_lake(spark, f"{root}/silver/user_sessions", contracts.load("silver.user_sessions"))
 
 
-def _drain_thrice(job: Callable[..., object], spark: SparkSession, sf_dir: str) -> str:
+def _drain_thrice(job: Callable[..., object], spark: SparkSession, sf_dir: str, **options) -> str:
     """Run a job on the text log as three parts of it arrive, each time from the checkpoint of the run before."""
     log, session = wh.click_log(spark, sf_dir), streaming_session(spark)
     path, root = work_path(spark, "log"), work_path(spark, "restarted")
@@ -751,7 +752,7 @@ def _drain_thrice(job: Callable[..., object], spark: SparkSession, sf_dir: str)
     for i, part in enumerate((at < "2024-01-11", (at >= "2024-01-11") & (at < "2024-01-21"), at >= "2024-01-21")):
         log.where(part).write.text(f"{path}/{i}")
         events = jobs.window_events(read_text(session, f"{path}/*", streaming=True))
-        job(events, root, f"{root}/checkpoint", trigger=jobs.DRAIN).awaitTermination()
+        job(events, root, f"{root}/checkpoint", trigger=jobs.DRAIN, **options).awaitTermination()
     return root
 
 
@@ -767,6 +768,33 @@ def stream_funnel_from_log(spark, sf_dir):
     return read_lake(spark, f"{root}/gold/product_funnel_1m", contracts.load("gold.product_funnel_1m"))
 
 
+#: Ranges that no single grain makes up: hours and minutes over days, one hour across midnight, all, and none.
+RANGES = {
+    "weeks": (datetime(2024, 1, 3, 7, 13), datetime(2024, 1, 29, 22, 41)), "night": (datetime(2024, 1, 9, 23, 31), datetime(2024, 1, 10, 0, 31)),
+    "all": (datetime(1960, 1, 1), datetime(2040, 1, 1)), "none": (datetime(2024, 1, 5), datetime(2024, 1, 5)),
+}
+
+
+def _between(spark: SparkSession, path: str) -> DataFrame:
+    parts = [jobs.read_funnel_between(spark, path, *bounds).withColumn("range", F.lit(name)) for name, bounds in RANGES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def funnel_any_range(spark, sf_dir):
+    """Four ranges from cells that were stored in ten batches of windows, and merged."""
+    windows, path = _funnel(spark, sf_dir), work_path(spark, "cells")
+    part = F.pmod(F.xxhash64("product_id", "window_start"), F.lit(10))
+    for i in range(10):
+        jobs.add_cells(windows.where(part == i), path, sinks.batch_label("load", i))
+    return _between(spark, path)
+
+
+@query
+def stream_funnel_any_range(spark, sf_dir):
+    return _between(spark, f"{_drain_thrice(jobs.start_funnel, spark, sf_dir, cells=True)}/gold/product_funnel_cells")
+
+
 @query
 def stream_user_360(spark, sf_dir):
     """User totals of the closed sessions, from the share of each batch."""

@@ -8,7 +8,7 @@ several outputs computes a batch once and writes it to all of them.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark import StorageLevel
@@ -20,7 +20,7 @@ from ..operators import changes as entity
 from ..operators.events import (
     WATERMARK, bronze_events, dedupe_events, enrich_events, rejected_events, untimed_events, valid_events,
 )
-from ..operators.funnel import WINDOW, product_funnel, serving_funnel
+from ..operators.funnel import CELL, WINDOW, dyadic_cells, funnel_between, merge_cells, product_funnel, serving_funnel
 from ..operators.sessions import GAP, serving_sessions, session_metrics, user_sessions
 from ..operators.users import merge_states, user_360, user_state
 from ..session import check_streaming
@@ -165,8 +165,9 @@ def start_funnel(
     trigger: Trigger = FUNNEL_LIVE,
     size: timedelta = WINDOW,
     delay: str = WATERMARK,
+    cells: bool = False,
 ) -> StreamingQuery:
-    """Closed windows to the gold and the serving table."""
+    """Closed windows to the gold and the serving table; with ``cells`` also to those ``read_funnel_between`` answers from."""
     check_streaming(events.sparkSession)
 
     def write(batch: DataFrame, label: str) -> None:
@@ -175,10 +176,26 @@ def start_funnel(
             serving_funnel(batch), f"{out}/serving/product_funnel_1m", ["product_id", "window_start"],
             ["window_end"], label, sinks.SERVING_DEFAULTS["product_funnel_1m"],
         )
+        if cells:
+            add_cells(batch, f"{out}/gold/product_funnel_cells", label, size)
 
     return _start(product_funnel(events, size, delay), checkpoint, trigger, write)
 
 
+def add_cells(windows: DataFrame, path: str, label: str, size: timedelta = WINDOW) -> bool:
+    """Add a batch of closed windows to the stored cells; false if they have this batch, which isn't counted twice then."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return merge_cells(rows, store.VERSION).repartitionByRange(*CELL[1:], CELL[0]).sortWithinPartitions(*CELL[1:], CELL[0])
+
+    return store.commit(dyadic_cells(windows, size), path, label, merge)
+
+
+def read_funnel_between(spark: SparkSession, path: str, start: datetime, end: datetime, size: timedelta = WINDOW) -> DataFrame:
+    """Counts per product over any range of whole windows, from the stored cells."""
+    return funnel_between(store.read(spark, path), start, end, size)
+
+
 def start_changes(
     raw: DataFrame,
     out: str,
