@@ -288,6 +288,9 @@ ORACLES: dict[str, str] = {
       WHERE CAST(event_id AS BIGINT) % 5 = 2""",
     "funnel_any_range": f"WITH {funnel()}, {_RANGES.format(windows='fu')}",
     "stream_funnel_any_range": f"WITH {funnel()}, cl AS (SELECT * FROM fu {_CLOSED.format(end='window_end')}), {_RANGES.format(windows='cl')}",
+    "replay_diff_buckets": f"""WITH {BRONZE} SELECT v.name AS table_name, n AS left_rows, n AS right_rows,
+      CAST(v.odd AS BIGINT) AS only_left, CAST(v.odd AS BIGINT) AS only_right, v.odd AS unequal_buckets
+      FROM (SELECT count(*) AS n FROM si), (VALUES ('same', 0), ('changed', 1)) AS v(name, odd)""",
     "stream_unreadable": f"""WITH {EVENTS} SELECT
       substring('{{"event_id":"' || event_id || '","event_type":"error","user_id"', 1, 30) AS value,
       'unparseable' AS reason FROM ev WHERE event_type = 'error'""",
