@@ -3,7 +3,9 @@
 Every word k-gram of every text is joined by its hash with the positions of the same gram in the licence
 templates. Matches of one document and template that share ``document position - template position`` lie on
 one diagonal; votes are summed per diagonal, diagonals next to each other (words put in or left out) merge
-into one span, and a span counts once enough of the template's words are found in it.
+into one span, and a span counts once enough of the template's words are found in it. Diagonals are next to each
+other in two ways: one follows the other in the text, or both lie in one band of offsets, whatever stray ones stand
+between them. So a passage of up to a third of the template may be put in, left out, replaced or repeated.
 
 Grams of two words come first and are few, so only they meet all texts; longer grams, for the longer
 templates, are looked up for the places that remain. The templates are constants and are broadcast.
@@ -91,18 +93,30 @@ def _spans(diagonals: DataFrame, kept: list[str], gap: int = 8, drift: int = 8,
     phrases = diagonals.where(F.col("phrase") & (covered == 1)).select(
         "rid", "template", "label", "phrase", F.col("offset").alias("start"),
         (F.col("offset") + F.col("n_grams") - 1 + F.col("k")).alias("end"), F.lit(1.0).alias("coverage"))
+    found = [F.min("first").alias("start"), (F.max("last") + F.col("k")).alias("end"),
+             F.array_distinct(F.flatten(F.collect_list("found"))).alias("found")]
+    long = diagonals.where(~F.col("phrase"))
     order = Window.partitionBy("rid", "template").orderBy("first", "offset")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     apart = (F.col("first") > F.max("last").over(before) + F.col("k") + gap) | (
         F.abs(F.col("offset") - F.lag("offset").over(order)) > drift)
-    runs = diagonals.where(~F.col("phrase")).withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
-    runs = runs.withColumn("run", F.sum("new").over(order))
-    spans = runs.groupBy(*kept, "run").agg(
-        F.min("first").alias("start"), (F.max("last") + F.col("k")).alias("end"),
-        F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
-    spans = spans.withColumn("coverage", F.size("found") / F.col("n_grams"))
+    runs = long.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
+    spans = runs.withColumn("run", F.sum("new").over(order)).groupBy(*kept, "run").agg(*found).drop("run")
+    # Bands are two cells of offsets wide and begin at each cell, so offsets less than a cell apart share one.
+    cell = F.floor(F.col("offset") / F.greatest(F.lit(drift), F.floor(F.col("n_grams") / 3)))
+    bands = long.withColumn("band", F.explode(F.array(cell, cell - 1))).groupBy(*kept, "band").agg(*found).drop("band")
+    spans = spans.unionByName(bands).withColumn("coverage", F.size("found") / F.col("n_grams"))
     dense = (F.col("end") - F.col("start")) <= 2 * (F.col("n_grams") + F.col("k") - 1)
-    return phrases.unionByName(spans.where(dense & (F.col("coverage") >= least)).select(*phrases.columns))
+    return phrases.unionByName(_joined(spans.where(dense & (F.col("coverage") >= least)).select(*phrases.columns)))
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """One span for those of a template that overlap, with the greatest coverage."""
+    order = Window.partitionBy("rid", "template").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = spans.withColumn("new", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
+    joined = numbered.withColumn("span", F.sum("new").over(order)).groupBy("rid", "template", "label", "phrase", "span")
+    return joined.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("coverage").alias("coverage")).drop("span")
 
 
 def license_labels(docs: DataFrame, columns: list[str] | None = None, **templates: object) -> DataFrame:

@@ -183,7 +183,11 @@ def _licenses(gap: int = 8, drift: int = 8, least: float = 0.7) -> str:
             lag(o) OVER (PARTITION BY rid, i ORDER BY a, o) AS o_before FROM diagonals WHERE NOT phrase))),
     spans AS (
       SELECT r.rid, r.label, min(r.n_grams) AS n_grams, min(r.k) AS k, min(a) AS start, max(b) + min(r.k) AS stop, count(DISTINCT tp) AS n
-      FROM runs r JOIN votes v ON v.rid = r.rid AND v.i = r.i AND v.p - v.tp = r.o GROUP BY r.rid, r.i, r.label, run),
+      FROM runs r JOIN votes v ON v.rid = r.rid AND v.i = r.i AND v.p - v.tp = r.o GROUP BY r.rid, r.i, r.label, run
+      UNION ALL
+      SELECT rid, label, min(n_grams), min(k), min(p), max(p) + min(k), count(DISTINCT tp)
+      FROM (SELECT *, unnest([0, 1]) AS earlier FROM votes WHERE NOT phrase)
+      GROUP BY rid, i, label, floor((p - tp) / greatest({drift}, n_grams // 3)) - earlier),
     good AS (
       SELECT rid, label, n / n_grams AS coverage FROM spans WHERE n / n_grams >= {least} AND stop - start <= 2 * (n_grams + k - 1)),
     labelled AS (SELECT rid, label, 1.0::DOUBLE AS coverage FROM base UNION ALL SELECT * FROM good)
