@@ -24,6 +24,7 @@ STEP = 256  # units in 1 of a logarithm
 #: Name of each component, and its least standard deviation in units.
 COMPONENTS = {"length": 64, "word_length": 16, "symbols": 64, "repetition": 16, "repeats": 128, "capitals": 64}
 DIM = len(COMPONENTS)
+PART_ROWS = 1024  # vectors of a cell that meet one copy of its estimate
 
 
 def _windows(hashes: Column) -> Column:
@@ -111,10 +112,16 @@ def _cells(docs: DataFrame, min_docs: int) -> DataFrame:
     rest = counts.where(F.col("source_cell") == small).groupBy("lang").agg(F.sum("count").alias("rest"))
     counts = counts.join(rest, "lang", "left").withColumn(
         "lang_cell", F.when((F.col("source_cell") == small) & (F.col("rest") < min_docs), small).otherwise(F.col("lang")))
-    return saved(counts.select("lang", "source", F.concat_ws("\x1f", "lang_cell", "source_cell").alias("cell")),
+    return saved(counts.select("lang", "source", F.concat_ws("\x1f", "lang_cell", "source_cell").alias("cell"), "count"),
                  "mcd-cells")
 
 
+def _spread(of_cells: DataFrame, parts: DataFrame) -> DataFrame:
+    """A row of each cell once for each of the cell's parts."""
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    return of_cells.join(parts, "cell").select(*of_cells.columns, each)
+
+
 def _centres(docs: DataFrame) -> DataFrame:
     """For each cell the medians and half the inner quartile range (at least the floor) of the components."""
     long = docs.select("cell", F.posexplode("x").alias("i", "v"))
@@ -153,9 +160,9 @@ def _estimate(docs: DataFrame) -> DataFrame:
                             *[f"l{i}_{j}" for i in range(DIM) for j in range(i + 1)]), "mcd-estimate")
 
 
-def _distances(docs: DataFrame, estimate: DataFrame) -> DataFrame:
+def _distances(docs: DataFrame, estimate: DataFrame, keys: tuple[str, ...] = ("cell",)) -> DataFrame:
     """Documents with ``d2``, the squared Mahalanobis distance to their cell's estimate (null without one)."""
-    joined, solved = docs.join(estimate, "cell", "left"), []
+    joined, solved = docs.join(estimate, list(keys), "left"), []
     for i in range(DIM):
         rest = F.col("x")[i] - F.col(f"m{i}")
         for k, y in enumerate(solved):
@@ -181,22 +188,25 @@ def quality_rules(docs: DataFrame, *, support: float = 0.75, steps: int = 3, min
     stats = saved(statistics(docs).withColumns({"lang": tag("lang"), "source": tag("source")}).withColumn(
         "row", F.struct(*[F.col("row").getField(c).alias(c) for c in wanted])), "quality-statistics")
     cells = _cells(stats, min_docs)
-    vectors = stats.where(~F.col("base_failed")).select("lang", "source", "x").join(
-        cells, ["lang", "source"]).select("cell", "x")
+    # A cell's vectors meet its estimates in parts, so that no cell is one task, whatever its size; sums follow per part.
+    parts = cells.groupBy("cell").agg((1 + F.floor(F.sum("count") / PART_ROWS)).alias("parts"))
+    parted = cells.select("lang", "source", "cell").join(parts, "cell")
+    vectors = stats.where(~F.col("base_failed")).select("lang", "source", "x").join(parted, ["lang", "source"]).select(
+        "cell", F.pmod(F.monotonically_increasing_id(), "parts").alias("part"), "x")
     vectors = saved(vectors, "mcd-vectors")
     estimate = saved(_centres(vectors), "mcd-centres")
+    keys = ("cell", "part")
     for _ in range(steps):
-        near = _distances(vectors, estimate).withColumn("d2", _bin(F.col("d2")))
-        # Stored, so that Spark knows its size and no cell's vectors meet in one task.
+        near = _distances(vectors, _spread(estimate, parts), keys).withColumn("d2", _bin(F.col("d2")))
         limit = saved(_quantile(near, ["cell"], "d2", support).withColumnRenamed("d2", "limit"), "mcd-limit")
-        estimate = _estimate(near.join(limit, "cell").where(F.col("d2") <= F.col("limit")).select("cell", "x"))
-    middle = _quantile(_distances(vectors, estimate).withColumn("d2", _bin(F.col("d2"))), ["cell"], "d2", 0.5)
+        estimate = _estimate(near.join(_spread(limit, parts), list(keys)).where(F.col("d2") <= F.col("limit")).select("cell", "x"))
+    middle = _quantile(_distances(vectors, _spread(estimate, parts), keys).withColumn("d2", _bin(F.col("d2"))), ["cell"], "d2", 0.5)
     # The median of a chi-square of DIM degrees, by Wilson and Hilferty.
     normal = DIM * (1 - 2 / (9 * DIM)) ** 3
     scale = saved(middle.select("cell", F.greatest(F.expm1((F.col("d2") + 1) / 32) / 64 / normal, F.lit(1e-3)).alias(
         "scale")), "mcd-scale")
     # Cells, estimates and scales are stored, so Spark knows their sizes and documents are not shuffled to meet them.
-    judged = _distances(stats.join(cells, ["lang", "source"], "left"), estimate).join(scale, "cell", "left")
+    judged = _distances(stats.join(cells.drop("count"), ["lang", "source"], "left"), estimate).join(scale, "cell", "left")
     judged = judged.withColumn("distance", F.col("d2") / F.col("scale"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
