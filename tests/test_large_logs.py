@@ -51,3 +51,16 @@ def test_lake_writes_one_file_per_partition_and_batch(spark, tmp_path):
 def test_change_log_of_one_kind(spark, tables, kind):
     whole = wh.change_log(spark, tables).where(F.col("value").contains(f'"entity_type":"{kind}"'))
     assert sorted(whole.collect()) == sorted(wh.change_log(spark, tables, [kind]).collect()) != []
+
+
+def test_rejected_changes_parse_once(spark):
+    texts = ['{"entity_type":"order","order_id":"1"}', '{"entity_type":"shop"}', '{"order_id":"1"}', "{}", "not json", "", None,
+             '{"entity_type":"order","order_id":', '{"entity_type":null}', '[{"entity_type":"shop"}]', '[]', '"order"',
+             '{"entity_type":"shop"} x', '{"entity_type":{"a":1}}']
+    found = rejected_changes(spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, log_offset long"), ["log_offset"])
+    assert found.columns == ["log_offset", "value", "reason"]
+    reasons = {r.log_offset: r.reason for r in found.collect()}
+    assert 0 not in reasons and reasons[1] == reasons[2] == reasons[3] == reasons[8] == "unknown entity"
+    assert reasons[4] == reasons[6] == reasons[7] == "unparseable"
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
