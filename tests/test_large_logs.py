@@ -53,6 +53,16 @@ def test_change_log_of_one_kind(spark, tables, kind):
     assert sorted(whole.collect()) == sorted(wh.change_log(spark, tables, [kind]).collect()) != []
 
 
+@pytest.mark.parametrize("kind", list(entity.TABLES))
+def test_streams_of_one_kind_make_no_other_text(spark, tables, kind, monkeypatch):
+    asked, real = [], wh.change_log
+    monkeypatch.setattr(wh, "change_log", lambda spark, sf_dir, *kinds: asked.append(kinds) or real(spark, sf_dir, *kinds))
+    table = entity.TABLES[kind][0]
+    for name in (f"stream_lake_{table}", f"stream_serving_{table}"):
+        assert suite.QUERIES[name](spark, tables).count() > 0
+    assert asked == [([kind],)] * 2
+
+
 def test_rejected_changes_parse_once(spark):
     texts = ['{"entity_type":"order","order_id":"1"}', '{"entity_type":"shop"}', '{"order_id":"1"}', "{}", "not json", "", None,
              '{"entity_type":"order","order_id":', '{"entity_type":null}', '[{"entity_type":"shop"}]', '[]', '"order"',
