@@ -74,3 +74,17 @@ def test_rejected_changes_parse_once(spark):
     assert reasons[4] == reasons[6] == reasons[7] == "unparseable"
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("name, job", [("replay_diff", "rebuild"), ("reprocess_diff", "reprocess")])
+def test_rebuilds_read_stored_logs(spark, tables, name, job, monkeypatch):
+    """The text of the logs is made once, however many passes read it."""
+    logs, real = [], getattr(replay, job)
+
+    def spied(*args, **options):
+        logs.extend(a for a in args if isinstance(a, DataFrame))
+        return real(*args, **options)
+
+    monkeypatch.setattr(replay, job, spied)
+    assert all(r.only_left == r.only_right == 0 for r in suite.QUERIES[name](spark, tables).collect())
+    assert logs and not any("to_json" in log._jdf.queryExecution().optimizedPlan().toString() for log in logs)
