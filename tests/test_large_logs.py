@@ -88,3 +88,18 @@ def test_rebuilds_read_stored_logs(spark, tables, name, job, monkeypatch):
     monkeypatch.setattr(replay, job, spied)
     assert all(r.only_left == r.only_right == 0 for r in suite.QUERIES[name](spark, tables).collect())
     assert logs and not any("to_json" in log._jdf.queryExecution().optimizedPlan().toString() for log in logs)
+
+
+def test_log_time_is_the_time_in_the_text(spark, tables):
+    events = spark.read.parquet(f"{tables}/events.parquet")
+    stated = {r[0]: r[1] for r in events.select(F.col("event_id").cast("string"), wh.log_time("ts")).collect()}
+    text = wh.click_log(spark, tables)
+    assert stated == {r[0]: r[1] for r in text.select(*(F.get_json_object("value", f"$.{c}") for c in ("event_id", "timestamp"))).collect()}
+    assert stated["0"] < "2024-01-11" <= stated["1"] and stated["2"] is None
+
+
+def test_parts_of_the_log_are_cut_before_their_text_is_made(spark, tables, monkeypatch):
+    cut, real = [], wh.click_log
+    monkeypatch.setattr(wh, "click_log", lambda spark, sf_dir, source=None: cut.append(source) or real(spark, sf_dir, source))
+    suite.QUERIES["stream_funnel_from_log"](spark, tables).collect()
+    assert [sorted(r.event_id for r in part.collect()) for part in cut] == [[0], [1], [3]]
