@@ -20,9 +20,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): of the least id, then first read. Texts
-    without words, null ones too, are copies of each other; a null id is beyond all others."""
-    return near.near_copies(docs).where("keep").select("row.*")
+    """One document of each group of near copies (SimHash within two bits, as ``op8_simhash``, or five words at similarity
+    0.8): of the least id, then first read. Texts without words, null ones too, are copies of each other; a null id is
+    beyond all others."""
+    return near.near_copies(docs, fingerprints=True).where("keep").select("row.*")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

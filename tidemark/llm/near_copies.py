@@ -11,6 +11,11 @@ in order, the rarest first; near copies share one of the first ``n - ceil(0.8 n)
 stands, and the sets' sizes, bound what two sets can share from there on. A set that cannot reach 0.8 with the smallest set
 of a shingle's bucket leaves it; the rest goes through heads again, and only pairs within the bounds are compared.
 
+Unique shingles make a set a bad head: copies of one text, each with changes of its own, are further from each other than from
+the text. So each such bucket has a second head, the set with the fewest shingles that no other has.
+
+With ``fingerprints`` the links of ``simhash.py`` (two bits, three words, repeats counted) are links too, as they are.
+
 Candidates are first compared by sketches of one byte per minimum hash, of which near copies share 76.8 of 96 on average and
 fewer than 55 once in ten million; only what passes is checked on the sets.
 """
@@ -26,6 +31,7 @@ from pyspark.sql.types import BooleanType, LongType
 from tidemark.llm.bloom import among
 from tidemark.llm.common import bucketed, packed, saved, whole
 from tidemark.llm.components import components
+from tidemark.llm.simhash import fingerprint_of, fingerprint_roots
 
 BANDS = 24
 ROWS = 4
@@ -53,8 +59,11 @@ def shingle_hashes(text: str, words: int = WORDS):
 
 
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``rid, row, doc_id, set, n, bands, sketch`` for each document, written once. ``set`` is a digest, ``n`` the set's size."""
-    @pandas_udf("struct<set: binary, n: long, bands: array<bigint>, sketch: binary>")
+    """``rid, row, doc_id, set, n, bands, sketch, fp`` for each document, written once.
+
+    ``set`` is a digest, ``n`` the set's size, ``fp`` the fingerprint that ``simhash.py`` gives the text.
+    """
+    @pandas_udf("struct<set: binary, n: long, bands: array<bigint>, sketch: binary, fp: long>")
     def signed(texts: pd.Series) -> pd.DataFrame:
         import numpy as np
         import xxhash
@@ -70,8 +79,8 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 least = np.minimum(least, ((hashes[i:i + PIECE, None] ^ masks) * factors).min(axis=0))
             bands = [xxhash.xxh64_intdigest(b.tobytes()) for b in least.reshape(BANDS, ROWS)]
             out.append((xxhash.xxh128_digest(hashes.tobytes()), len(hashes), np.array(bands, dtype=np.uint64).view(np.int64),
-                        (least >> np.uint64(56)).astype(np.uint8).tobytes()))
-        return pd.DataFrame(out, columns=["set", "n", "bands", "sketch"])
+                        (least >> np.uint64(56)).astype(np.uint8).tobytes(), fingerprint_of(text)))
+        return pd.DataFrame(out, columns=["set", "n", "bands", "sketch", "fp"])
 
     rows = packed(docs, docs["doc_id"].cast("long").alias("doc_id"), signed(whole(docs["text"])).alias("s"))
     return saved(rows.select(F.monotonically_increasing_id().alias("rid"), "row", "doc_id", "s.*"), "near-signatures")
@@ -101,7 +110,7 @@ def _shared(one: pd.Series, two: pd.Series) -> pd.Series:
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """``token, node, n, reach``: for each set its first shingles, rarest first.
+    """``token, node, n, own, reach``: for each set its first shingles, rarest first. ``own``: how many no other set has.
 
     ``reach`` is the size of the largest set that may be a near copy, if the shingle is the first the two have in common.
     """
@@ -112,16 +121,21 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     first = met.select("node", "n", (F.col("n") - F.size("met")).alias("own"), F.posexplode("met").alias("at", "t"))
     place = F.col("own") + F.col("at")
     reach = (1 + similarity) / similarity * (F.col("n") - place) - F.col("n") + 1e-6
-    return first.where(place <= F.col("n") * (1 - similarity) + 1e-9).select(F.col("t.token").alias("token"), "node", "n", reach.alias("reach"))
+    return first.where(place <= F.col("n") * (1 - similarity) + 1e-9).select(
+        F.col("t.token").alias("token"), "node", "n", "own", reach.alias("reach"))
 
 
-def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``node, root`` of the nodes in ``members`` (``band, key, node, n``: those of buckets with others).
+def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY,
+          known: DataFrame | None = None) -> DataFrame:
+    """``node, root`` of the nodes in ``members`` (``band, key, node, n``: those of buckets with others) and ``known``.
 
     ``sets`` are ``node, hashes``, ``sketches`` are ``node, sketch`` of these nodes. Roots are equal just where links of
-    at least the similarity connect.
+    at least the similarity connect, or the links ``(a, b)`` that are known already.
     """
-    nodes = members.select("node").distinct()
+    nodes = members.select("node")
+    if known is not None:
+        nodes = nodes.unionByName(known.select(F.explode(F.array("a", "b")).alias("node")))
+    nodes = nodes.distinct()
 
     def checked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` that are near copies."""
@@ -142,14 +156,15 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
         split = rooted.groupBy(*bucket).agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
         return saved(rooted.join(split.select(*bucket), list(bucket)), "near-apart")
 
-    def stars(rows: DataFrame, *bucket: str) -> DataFrame:
-        """Pairs of each bucket's smallest set with the others within its reach and theirs."""
-        heads = rows.groupBy(*bucket).agg(F.min(F.struct("n", "node", "root", "reach")).alias("h"))
+    def stars(rows: DataFrame, *bucket: str, by: tuple[str, ...] = ("n",)) -> DataFrame:
+        """Pairs of each bucket's first set, the smallest or as ordered, with the others within its reach and theirs."""
+        heads = rows.groupBy(*bucket).agg(F.min(F.struct(*by, "node", "root", "reach")).alias("h"))
         return rows.join(heads, list(bucket)).where((F.col("root") != F.col("h.root")) & (F.col("h.n") <= F.col("reach")) & (
             F.col("n") <= F.col("h.reach"))).select(F.col("node").alias("a"), F.col("h.node").alias("b"))
 
     edges = saved(checked(stars(members.withColumns({"root": F.col("node"), "reach": F.col("n") / similarity + 1e-6}), "band", "key")),
                   "near-edges")
+    edges = edges if known is None else edges.unionByName(known)
     roots = _roots(nodes, edges)
     rest = apart(members, roots, "band", "key").select("node").distinct()
     rows = saved(_prefixes(sets.join(rest, "node", "left_semi"), similarity), "near-prefixes")
@@ -157,7 +172,7 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
         rows = apart(rows, roots, "token")
         least = rows.groupBy("token").agg(F.min("n").alias("least"))
         rows = apart(rows.join(least, "token").where("least <= reach").drop("least"), roots, "token")
-        new = saved(checked(stars(rows, "token")), "near-edges")
+        new = saved(checked(stars(rows, "token").unionByName(stars(rows, "token", by=("own", "n")))), "near-edges")
         if new.isEmpty():
             break
         edges = edges.unionByName(new)
@@ -169,11 +184,22 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
     return _roots(nodes, edges.unionByName(checked(one.join(two, (one["token"] == two["token"]) & within))))
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def _by_fingerprint(rows: DataFrame, of_set: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that connect just the sets of texts whose fingerprints' links connect them."""
+    fps = saved(rows.select("set", "fp").distinct(), "near-fingerprints")
+    roots = saved(fingerprint_roots(fps.select("fp").distinct()), "near-fingerprint-roots")
+    rooted = fps.join(roots, "fp", "left").select("set", F.coalesce("root", "fp").alias("root"))
+    heads = rooted.groupBy("root").agg(F.min("set").alias("head"), F.max("set").alias("last")).where("head <> last")
+    pairs = saved(rooted.join(heads, "root").where("set <> head").select("set", "head").distinct(), "near-fingerprint-pairs")
+    one, two = (of_set.select(F.col("set").alias(s), F.col("node").alias(x)) for s, x in (("set", "a"), ("head", "b")))
+    return saved(pairs.join(one, "set").join(two, "head").select("a", "b"), "near-fingerprint-edges")
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, fingerprints: bool = False) -> DataFrame:
     """``rid, row, doc_id, component_id, keep`` for each document.
 
     ``component_id`` is the least id that can be reached over links of at least the similarity, its own included
-    (null if all of them are null). ``keep`` marks one row of each component: of its least id, then first read.
+    (null if all of them are null), and with ``fingerprints`` over those of ``simhash.near_duplicates`` as well. ``keep`` marks one row of each component: of its least id, then first read.
     Texts without words have equal, empty sets; they are near copies of each other only.
     """
     rows = signatures(docs, words)
@@ -194,12 +220,12 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     sets = bucketed(texts.join(wanted, "rid", "left_semi").select(F.col("rid").alias("node"), hashed("text").alias("hashes")),
                     "near-hashes", "node")
     roots = links(members, sets, of_set.select("node", "sketch").join(wanted.withColumnRenamed("rid", "node"), "node", "left_semi"),
-                  similarity)
+                  similarity, _by_fingerprint(rows, of_set) if fingerprints else None)
     rooted = of_set.join(roots, "node", "left").select("set", "first", "copies", F.coalesce("root", "node").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"), F.sum("copies").alias("size")).where("size > 1")
     # Only sets of several documents; texts that a filter shows to be no such set's do not move.
     labels = saved(rooted.join(heads, "root").select("set", "head"), "near-labels")
-    rows, test = rows.drop("n", "bands", "sketch").withColumn("head", F.lit(None).cast(labels.schema["head"].dataType)), among(labels, "set")
+    rows, test = rows.drop("n", "bands", "sketch", "fp").withColumn("head", F.lit(None).cast(labels.schema["head"].dataType)), among(labels, "set")
     found = rows.where(test("set")).drop("head").join(labels, "set", "left")
     alone = F.col("head").isNull()
     return rows.where(~test("set")).unionByName(found).select(

@@ -87,6 +87,11 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.unionByName(stars.distinct())
 
 
+def fingerprint_roots(fps: DataFrame) -> DataFrame:
+    """``fp, root`` of the distinct ``fp`` that links of at most two bits connect with others."""
+    return components(links(fps)).withColumnRenamed("node", "fp")
+
+
 def near_duplicates(docs: DataFrame, columns: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
     """``rid, row, doc_id, fp, component_id, keep`` for each document.
 
@@ -97,9 +102,7 @@ def near_duplicates(docs: DataFrame, columns: list[str] | None = None, shingle:
     rows = fingerprints(docs, columns, shingle)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("rid")))
     fps = saved(rows.groupBy("fp").agg(first.alias("first")), "simhash-distinct")
-    roots = components(links(fps))
-    rooted = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = fps.join(fingerprint_roots(fps), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
     labels = saved(rooted.join(heads, "root").select("fp", "head"), "simhash-labels")
     return rows.join(labels, "fp").select(
