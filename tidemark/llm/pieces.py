@@ -14,6 +14,7 @@ piece, becomes bytes, and decoding gives back each text exactly.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -29,6 +30,9 @@ MARK = "▁"
 #: Vocabularies are sent to every task; larger ones are refused.
 MAX_PIECES = 1_000_000
 REMEMBERED = 400_000
+#: Characters of a cut that may be remembered, and of the texts whose new cuts are taken in order.
+SHORT = 64
+TOGETHER = 1 << 20
 #: Scores are whole multiples of 1 / UNIT, so that equal sums are equal in any order.
 UNIT = 1 << 20
 
@@ -115,61 +119,99 @@ def _meeting(back: dict, live: list[int], base: int) -> tuple[int, list[int]]:
 
 def encoder(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
     """A function from a text to its ids. It remembers short cuts, a bounded number of them."""
+    encode = batch_encoder(vocabulary)
+    return lambda text: next(encode([text]))
+
+
+def batch_encoder(vocabulary: Vocabulary) -> Callable[[Iterable[str]], Iterator[list[int]]]:
+    """A function from texts to the ids of each. It remembers short cuts, a bounded number of them.
+
+    The best split up to a boundary depends on what stands before it only, so new cuts are taken in order, and each goes on
+    from the characters that it shares with the one before.
+    """
     known: dict[str, tuple[int, ...]] = {}
-    get, byte_ids, byte_score, longest = vocabulary.pieces.get, vocabulary.byte_ids, vocabulary.byte_score, vocabulary.longest
+    get, byte_ids, byte_score = vocabulary.pieces.get, vocabulary.byte_ids, vocabulary.byte_score
 
-    root: dict[str, list] = {}  # by character: what may follow, and the id and score of the piece that ends here
+    root: dict[str, list] = {}  # by character, backwards: what may stand before, and the id and score of the piece that begins here
     for piece, (i, value) in vocabulary.pieces.items():
         below = root
-        for c in piece[:-1]:
+        for c in piece[:0:-1]:
             below = below.setdefault(c, [{}, -1, 0])[0]
-        below.setdefault(piece[-1], [{}, -1, 0])[1:] = i, value
-
-    def short(cut: str) -> tuple[int, ...]:
-        """As ``stream`` does it, for a cut that is its own window."""
-        n = len(cut)
-        score, at, ids = [0, *[-math.inf] * n], [0] * (n + 1), [-1] * (n + 1)
-        for i in range(n):
-            here, below, j = score[i], root, i
-            for c in cut[i:i + longest]:
-                node = below.get(c)
-                if node is None:
+        below.setdefault(piece[0], [{}, -1, 0])[1:] = i, value
+
+    def learn(cuts: list[str]) -> None:
+        """As ``stream`` does it, for cuts of up to ``SHORT`` characters, in order."""
+        score, at, ids = [0] * (SHORT + 1), [0] * (SHORT + 1), [-1] * (SHORT + 1)
+        before = ""
+        for cut in cuts:
+            n, shared = len(cut), 0
+            for c, d in zip(cut, before):
+                if c != d:
                     break
-                j += 1
-                below, piece, value = node
-                if piece >= 0 and here + value > score[j]:
-                    score[j], at[j], ids[j] = here + value, i, piece
-            if get(cut[i]) is None:
-                value = here + byte_score * len(cut[i].encode())
-                if value > score[i + 1]:
-                    score[i + 1], at[i + 1], ids[i + 1] = value, i, -1
-        out: list[int] = []
-        while n:  # backwards
-            if ids[n] >= 0:
-                out.append(ids[n])
-            else:
-                out.extend(byte_ids[b] for b in reversed(cut[n - 1].encode()))
-            n = at[n]
-        return tuple(reversed(out))
-
-    def encode(text: str) -> list[int]:
-        text = " " + text
+                shared += 1
+            for end in range(shared + 1, n + 1):
+                best, start, last = -math.inf, 0, -1
+                if get(c := cut[end - 1]) is None:
+                    best, start = score[end - 1] + byte_score * len(c.encode()), end - 1
+                below = root
+                for i in range(end - 1, -1, -1):
+                    node = below.get(cut[i])
+                    if node is None:
+                        break
+                    below, piece, value = node
+                    if piece >= 0 and (value := value + score[i]) >= best:  # of equal ones the longest
+                        best, start, last = value, i, piece
+                score[end], at[end], ids[end] = best, start, last
+            before = cut
+            out: list[int] = []
+            while n:  # backwards
+                if ids[n] >= 0:
+                    out.append(ids[n])
+                else:
+                    out.extend(byte_ids[b] for b in reversed(cut[n - 1].encode()))
+                n = at[n]
+            known[cut] = tuple(reversed(out))
+
+    def parts(texts: Iterable[str]) -> Iterator[list[str]]:
+        """Some texts at a time: as many as have ``TOGETHER`` characters, or a single one."""
+        some, size = [], 0
+        for text in texts:
+            if some and size + len(text) > TOGETHER:
+                yield some
+                some, size = [], 0
+            some.append(" " + text)
+            size += len(text)
+        if some:
+            yield some
+
+    def learn_new(cuts: list[str]) -> None:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        learn(sorted(cut for cut in set(cuts).difference(known) if len(cut) <= SHORT))
+
+    def joined(cuts: list[str]) -> list[int]:
+        if max(map(len, cuts), default=0) > SHORT:
+            return [i for cut in cuts for i in (known[cut] if len(cut) <= SHORT else stream(vocabulary, cut))]
+        return [*itertools.chain.from_iterable(map(known.__getitem__, cuts))]
+
+    def streamed(text: str) -> Iterator[list[int]]:
+        """The ids of a text of any length, whose cuts are not all held at once."""
+        found = vocabulary.cut.finditer(text)
+        while cuts := [m[0] for m in itertools.islice(found, TOGETHER >> 3)]:
+            learn_new(cuts)
+            yield joined(cuts)
+
+    def encode(texts: Iterable[str]) -> Iterator[list[int]]:
         if vocabulary.cut is None:
-            return list(stream(vocabulary, text))
-        out: list[int] = []
-        extend, look = out.extend, known.get
-        for m in vocabulary.cut.finditer(text) if len(text) > 1 << 20 else vocabulary.cut.findall(text):
-            cut = m if isinstance(m, str) else m[0]
-            ids = look(cut)
-            if ids is None:
-                if len(cut) > 64:
-                    extend(stream(vocabulary, cut))
-                    continue
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[cut] = short(cut)
-            extend(ids)
-        return out
+            yield from (list(stream(vocabulary, " " + text)) for text in texts)
+            return
+        for some in parts(texts):
+            if len(some[0]) > TOGETHER:
+                yield [*itertools.chain.from_iterable(streamed(some[0]))]
+                continue
+            cuts = [vocabulary.cut.findall(text) for text in some]
+            learn_new([*itertools.chain.from_iterable(cuts)])
+            yield from map(joined, cuts)
 
     return encode
 
@@ -194,17 +236,15 @@ def encode_documents(docs: DataFrame, *, model: str = MODEL, columns: list[str]
 
         if not made:
             own = Vocabulary(pieces, byte_ids)
-            made.extend([own, encoder(own), np.isin(np.arange(max(own.bytes_of) + 1), byte_ids)])
+            made.extend([own, batch_encoder(own), np.isin(np.arange(max(own.bytes_of) + 1), byte_ids)])
         own, encode, is_byte = made
         ids, ends, n_bytes, exact = [], [0], [], []
-        for text in texts:
-            text = text.as_py()
-            found = encode(text)
+        for text, found in zip(texts, encode(text.as_py() for text in texts)):
             array = np.array(found, dtype=np.int32)
             ids.append(array)
             ends.append(ends[-1] + len(array))
             n_bytes.append(int(is_byte[array].sum()))
-            exact.append(decode(own, found) == text)
+            exact.append(decode(own, found) == text.as_py())
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
             np.concatenate(ids) if ids else np.empty(0, np.int32)))
         return pa.StructArray.from_arrays([lists, pa.array(n_bytes, pa.int32()), pa.array(exact)], ["ids", "n_bytes", "exact"])
