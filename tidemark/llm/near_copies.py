@@ -150,6 +150,10 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
         met = met.withColumn("shared", _shared("a_hashes", "b_hashes"))
         return met.where(F.col("shared") >= similarity * (sizes - F.col("shared")) - 1e-9).select("a", "b")
 
+    def linked(roots: DataFrame) -> DataFrame:
+        """One link of each node to its root, in place of all that led there."""
+        return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
     def apart(rows: DataFrame, roots: DataFrame, *bucket: str) -> DataFrame:
         """The rows of buckets that hold several roots."""
         rooted = rows.drop("root").join(roots, "node")
@@ -164,8 +168,7 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
 
     edges = saved(checked(stars(members.withColumns({"root": F.col("node"), "reach": F.col("n") / similarity + 1e-6}), "band", "key")),
                   "near-edges")
-    edges = edges if known is None else edges.unionByName(known)
-    roots = _roots(nodes, edges)
+    roots = _roots(nodes, edges if known is None else edges.unionByName(known))
     rest = apart(members, roots, "band", "key").select("node").distinct()
     rows = saved(_prefixes(sets.join(rest, "node", "left_semi"), similarity), "near-prefixes")
     while True:
@@ -175,13 +178,13 @@ def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, similarity:
         new = saved(checked(stars(rows, "token").unionByName(stars(rows, "token", by=("own", "n")))), "near-edges")
         if new.isEmpty():
             break
-        edges = edges.unionByName(new)
-        roots = _roots(nodes, edges)
+        roots = _roots(nodes, linked(roots).unionByName(new))
     one, two = (rows.select("token", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}"),
                             F.col("reach").alias(f"reach_{x}")) for x in ("a", "b"))
     within = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("reach_b")) & (
         F.col("n_b") <= F.col("reach_a"))
-    return _roots(nodes, edges.unionByName(checked(one.join(two, (one["token"] == two["token"]) & within))))
+    new = saved(checked(one.join(two, (one["token"] == two["token"]) & within)), "near-edges")
+    return _roots(nodes, linked(roots).unionByName(new))
 
 
 def _by_fingerprint(rows: DataFrame, of_set: DataFrame) -> DataFrame:
