@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import saved
 
 NODES = 1 << 18  # that a task holds at a time
+EDGES = 1 << 16  # that a task is dealt; fewer only if there would be under TASKS tasks
+TASKS = 4
 
 
 def _forests(edges: DataFrame, nodes: int = NODES) -> DataFrame:
@@ -51,10 +53,12 @@ def components(edges: DataFrame) -> DataFrame:
     each, tasks make forests of their own edges, so few rounds are left to do.
     """
     edges = saved(_forests(edges.where("a <> b")), "edges")
+    parts = max(TASKS, -(-edges.count() // EDGES))
+    edges = saved(_forests(edges.coalesce(parts)), "edges")
     while True:
         # Edges lead to the lesser node: ``m`` is the least neighbour, or the node itself if it is less than all.
         ends = edges.unionByName(edges.select(F.col("b").alias("a"), "b"))
-        least = saved(ends.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("most")), "least")
+        least = ends.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("most"))
         if least.where("m <> most").isEmpty():
             return least.select(F.col("a").alias("node"), F.col("m").alias("root"))
         # Dealt out once, and with the filters that both uses need: the second one reads the first one's shuffle.
@@ -62,5 +66,5 @@ def components(edges: DataFrame) -> DataFrame:
             "a IS NOT NULL AND b IS NOT NULL").repartition("a")
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = saved(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        edges = saved(_forests(edges), "edges")
+        # A round makes no more edges than there were, so as many tasks do.
+        edges = saved(_forests(small.unionByName(lower.select("a", F.col("m").alias("b"))).coalesce(parts)), "edges")
