@@ -29,7 +29,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BooleanType, LongType
 
 from tidemark.llm.bloom import among
-from tidemark.llm.common import bucketed, packed, saved, whole
+from tidemark.llm.common import bucketed, packed, saved, shared, whole
 from tidemark.llm.components import components
 from tidemark.llm.simhash import fingerprint_of, fingerprint_roots
 
@@ -115,9 +115,8 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     ``reach`` is the size of the largest set that may be a near copy, if the shingle is the first the two have in common.
     """
     tokens = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # Shingles of one set only come first in it; they meet nobody, so their number is all that is needed.
-    met = tokens.join(common, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("met"))
+    met = shared(tokens, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("met"))
     first = met.select("node", "n", (F.col("n") - F.size("met")).alias("own"), F.posexplode("met").alias("at", "t"))
     place = F.col("own") + F.col("at")
     reach = (1 + similarity) / similarity * (F.col("n") - place) - F.col("n") + 1e-6
@@ -210,8 +209,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     of_set = saved(rows.groupBy("set").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"), F.min("rid").alias("node"),
                                            F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-sets")
     keyed = of_set.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    several = keyed.groupBy("band", "key").count().where("count > 1").select("band", "key")
-    members = saved(keyed.join(several, ["band", "key"]), "near-members")
+    members = saved(shared(keyed, "band", "key").drop("count"), "near-members")
 
     @pandas_udf("array<bigint>")
     def hashed(texts: pd.Series) -> pd.Series:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import packed, saved, whole
+from tidemark.llm.common import packed, saved, shared, whole
 from tidemark.llm.components import components
 
 BLOCKS = 4
@@ -72,8 +72,7 @@ def links(fps: DataFrame) -> DataFrame:
     keys = F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                      for i, m in enumerate(masks)])
     blocked = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.block", "k.key")
-    sizes = blocked.groupBy("block", "key").count().where("count > 1")
-    crowded = saved(blocked.join(sizes, ["block", "key"]), "simhash-buckets")
+    crowded = saved(shared(blocked, "block", "key"), "simhash-buckets")
     few = crowded.where(F.col("count") <= PAIRS_UP_TO).groupBy("block", "key").agg(F.sort_array(F.collect_list("fp")).alias("f"))
     pairs = few.select(F.explode(F.flatten(F.transform("f", lambda a: F.transform(
         F.filter("f", lambda b: (b > a) & (F.bit_count(a.bitwiseXOR(b)) <= 2)),
@@ -83,7 +82,7 @@ def links(fps: DataFrame) -> DataFrame:
         F.call_function("shiftleft", F.lit(1).cast("long"), i))), F.col("fp"))
     near = many.select("fp", F.explode(flips).alias("value"))
     least = near.groupBy("value").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = near.join(least, "value").where("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
+    stars = near.join(least.hint("merge"), "value").where("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
     return pairs.unionByName(stars.distinct())
 
 
